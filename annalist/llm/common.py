@@ -121,7 +121,7 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, max_roun
     before = None
     for k in range(1, max_rounds + 1):
         both = e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).withColumnRenamed("a", "u")
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "u")
         large = both.join(low, both.a == low.u).where("b > u").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low2 = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         small = large.join(low2, large.a == low2.u).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from annalist.llm import chat_format, line_dedup, quality, secrets
+from annalist.llm import bpe, chat_format, language_id, line_dedup, pii, quality, secrets, simhash, url_filter
 
 QUERIES = {
     "op1_chat_format": chat_format.query,
     "op2_secrets": secrets.query,
     "op3_line_dedup": line_dedup.query,
+    "op4_pii": pii.query,
+    "op5_simhash": simhash.query,
     "op7_quality": quality.query,
+    "op8_bpe": bpe.query,
+    "op9_language_id": language_id.query,
+    "op10_url_filter": url_filter.query,
 }
 
 ORACLES = {
     "op1_chat_format": chat_format.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
+    "op10_url_filter": url_filter.ORACLE,
 }
