@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from annalist.llm import bpe, chat_format, language_id, line_dedup, pii, quality, secrets, simhash, url_filter
+from annalist.llm import bpe, chat_format, decontaminate, language_id, line_dedup, pii, quality, secrets, simhash, url_filter
 
 QUERIES = {
     "op1_chat_format": chat_format.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": line_dedup.query,
     "op4_pii": pii.query,
     "op5_simhash": simhash.query,
+    "op6_decontaminate": decontaminate.query,
     "op7_quality": quality.query,
     "op8_bpe": bpe.query,
     "op9_language_id": language_id.query,
