@@ -91,8 +91,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     t = F.coalesce(F.col(text), F.lit(""))
     hashed = F.array_compact(F.array_distinct(F.transform(F.split(t, "\n", -1), lambda x: line_key(x, min_chars))))
     ids = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"))
-    bounds = ids.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 10_000).alias("q"), F.count("*").alias("n"), F.count_distinct("doc_id").alias("d")).first()
-    cuts = sorted(set(bounds["q"] or []))
+    quantiles = ids.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1_000)).first()[0]
+    bounds = ids.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("d")).first()
+    cuts = sorted(set(quantiles or []))
     batch = sum(((F.col("doc_id") <= c).cast("int") for c in cuts), F.lit(0))  # 0: the largest ids
     pairs = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.explode(hashed).alias("key"))
     pairs = pairs.select("doc_id", F.unhex("key").alias("key"), batch.alias("batch"))
@@ -109,7 +110,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     drops = pairs.join(hit, pairs.key == hit.k).where("doc_id < holder").groupBy("doc_id").agg(F.collect_set(F.lower(F.hex("key"))).alias(keys)).withColumnRenamed("doc_id", own_id)
     drops = scratch.save(drops, "drops")
     scratch.drop("pairs")
-    out = docs.join(drops, docs[doc_id] == drops[own_id], "left").withColumn(lines, F.split(t, "\n", -1))
+    # drops grow with the corpus: never a broadcast, whatever this input's size
+    out = docs.join(drops.hint("merge"), docs[doc_id] == drops[own_id], "left").withColumn(lines, F.split(t, "\n", -1))
     kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(keys), line_key(x, min_chars)), F.lit(False)))
     out = out.withColumn(lost, F.when(F.col(keys).isNull(), F.col(lines)).otherwise(kept))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
