@@ -59,14 +59,13 @@ def features(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("base_failed", failed).drop(words, hashes, windows, twice)
 
 
-def _grams(df: DataFrame, words: str, place: str, bucket: str) -> DataFrame:
-    """A row for each word and each pair of neighbours, with its bucket; a row without words has one of a null bucket."""
-    n = F.size(words)
-    places = F.when(n > 0, F.sequence(F.lit(0), 2 * n - 2))
-    df = df.select("*", F.explode_outer(places).alias(place))
-    p = F.col(place)
-    one, two = F.xxhash64(F.get(words, p)), F.xxhash64(F.get(words, p - n), F.get(words, p - n + 1))
-    return df.withColumn(bucket, F.when(p.isNotNull(), F.pmod(F.when(p < n, one).otherwise(two), F.lit(BUCKETS))))
+def _buckets(words: Column) -> Column:
+    """The buckets of all words and of all pairs of neighbours, as an array.
+
+    The array is made before it is exploded: a row that carried the words along would copy them for each n-gram.
+    """
+    bucket = lambda *ws: F.pmod(F.xxhash64(*ws), F.lit(BUCKETS)).cast("int")
+    return F.concat(F.transform(words, lambda w: bucket(w)), F.transform(F.slice(words, 2, F.lit(1 << 30)), lambda w, i: bucket(F.get(words, i), w)))
 
 
 def ratio_table(docs: DataFrame, target_ids: DataFrame, text: str = "text") -> DataFrame:
@@ -75,8 +74,9 @@ def ratio_table(docs: DataFrame, target_ids: DataFrame, text: str = "text") -> D
     docs: (doc_id, text), all of them. target_ids: (target_id), MAX_TARGET_DOCS rows at most.
     """
     marked = docs.join(F.broadcast(target_ids), docs.doc_id == target_ids.target_id, "left")
-    grams = _grams(marked.select(F.col("target_id").isNotNull().alias("trusted"), words_of(F.col(text)).alias("w")), "w", "place", "bucket")
-    counts = grams.where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("trusted").alias("target"))
+    own = marked.select(F.col("target_id").isNotNull().alias("trusted"), words_of(F.col(text)).alias("w"))
+    grams = own.select("trusted", _buckets(F.col("w")).alias("b")).select("trusted", F.explode("b").alias("bucket"))
+    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("trusted").alias("target"))
     totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
     part = lambda n, total: F.log((F.col(n) + SMOOTHING) / (F.col(total) + SMOOTHING * BUCKETS))
     llr = F.when(F.col("all_target") > 0, part("target", "all_target") - part("raw", "all_raw")).otherwise(0.0)
@@ -101,7 +101,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     table_ = ratio_table(plain, trusted_ids(labels))
     rows = features(plain).select("doc_id", *COUNTS, "base_failed", words_of(F.col("text")).alias("w"), F.monotonically_increasing_id().alias("row"))
-    grams = _grams(rows, "w", "place", "gram").drop("w", "place")
+    grams = rows.withColumn("b", _buckets(F.col("w"))).select("doc_id", *COUNTS, "base_failed", "row", F.explode_outer("b").alias("gram"))
     scored = grams.join(F.broadcast(table_), grams.gram == table_.bucket, "left")
     first = lambda c: F.first(c).alias(c)
     out = scored.groupBy("row").agg(*map(first, ("doc_id", *COUNTS, "base_failed")), F.count("gram").alias("n_grams"), F.coalesce(F.sum("micro"), F.lit(0)).alias("micro"))
