@@ -241,7 +241,7 @@ def keep_first(spark: SparkSession, docs: DataFrame) -> DataFrame:
     (keep,) = fresh(docs, "keep_id")
     found = near_duplicates(spark, docs.where("doc_id IS NOT NULL"))
     heads = found.where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
-    out = docs.join(heads, docs.doc_id == heads[keep], "left_semi")
+    out = docs.join(heads.hint("merge"), docs.doc_id == heads[keep], "left_semi")
     ids = docs.where("doc_id IS NOT NULL").agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
     if ids["n"] != ids["d"]:
         out = out.dropDuplicates(["doc_id"])
