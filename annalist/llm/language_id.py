@@ -1,16 +1,15 @@
 """Language ID (9): rank-order profiles of the most frequent character n-grams, compared by out-of-place distance.
 
-Learning counts the n-grams of every training text: each task counts distinct words first, spells those into
-n-grams once, and sends (lang, n-gram, count); Spark adds them up and ranks them. Only the profiles, TOP rows for a
+Learning counts the n-grams of every training text: each task codes letters as numbers, counts the codes in arrays,
+and sends (lang, n-gram, count); Spark adds them up and ranks them. Only the profiles, TOP rows for a
 language, reach the driver. Prediction is a narrow Arrow stage.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,54 +22,96 @@ TOP = 400
 DOC_TOP = 300
 #: A document whose best distance is over this share of the largest possible one looks like no learned language.
 REJECT = 0.97
-_WORD = re.compile(r"[^\W\d_]+")
-_SPELLED = 64
-
-
-def grams_of(word: str) -> list[str]:
-    """The n-grams of a word between blanks; the blank alone is none."""
-    s = f" {word} "
-    return [s[i : i + n] for n in SIZES for i in range(len(s) - n + 1) if s[i : i + n] != " "]
-
-
-class Speller:
-    """grams_of with a bounded memory for words of ordinary length."""
-
-    def __init__(self, limit: int = 200_000):
-        self.seen: dict[str, list[str]] = {}
-        self.limit = limit
-
-    def __call__(self, word: str) -> list[str]:
-        out = self.seen.get(word)
-        if out is None:
-            out = grams_of(word)
-            if len(word) <= _SPELLED:
-                if len(self.seen) >= self.limit:
-                    self.seen.clear()
-                self.seen[word] = out
-        return out
-
-
-def letters_only(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+#: Characters counted at once, and the largest table of n-gram codes; with more letters codes are sorted instead.
+CHUNK, TABLE = 1_000_000, 1 << 22
+
+
+@cache
+def _letters():
+    """For every code point, whether it is a letter."""
+    import numpy as np
+
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
+
+
+def letter_codes(text: str):
+    """The code points of the lower-cased letters, every run of other characters as one 0, a 0 at both ends."""
+    import numpy as np
+
+    c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), dtype=np.uint32)
+    c = np.where(_letters()[c], c, 0)
+    keep = np.ones(len(c), dtype=bool)
+    keep[1:] = (c[1:] != 0) | (c[:-1] != 0)
+    return c[keep]
+
+
+def _grams(ids, size: int, base: int):
+    """The code of every n-gram, a number in base `base`; those with a blank inside or alone are left out."""
+    import numpy as np
+
+    n = len(ids) - size + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.int64)
+    code, ok = np.zeros(n, dtype=np.int64), ids[:n] != 0 if size == 1 else np.ones(n, dtype=bool)
+    for k in range(size):
+        part = ids[k : k + n]
+        code = code * base + part
+        if 0 < k < size - 1:
+            ok &= part != 0
+    if size == 2:
+        ok &= (ids[:n] != 0) | (ids[1:] != 0)
+    return code[ok]
+
+
+def count_grams(text: str) -> Counter:
+    """The n-grams of all words of a text, between blanks."""
+    import numpy as np
+
+    out: Counter = Counter()
+    points = letter_codes(text)
+    alphabet = np.unique(points)
+    ids, base = np.searchsorted(alphabet, points), len(alphabet)
+    for size in SIZES:
+        codes = _grams(ids, size, base)
+        if base**size <= TABLE:
+            counts = np.bincount(codes, minlength=1)
+            found = np.flatnonzero(counts)
+            counts = counts[found]
+        else:
+            found, counts = np.unique(codes, return_counts=True)
+        chars = [chr(c) if c else " " for c in alphabet]
+        digits = [found // base ** (size - 1 - k) % base for k in range(size)]
+        for *ds, n in zip(*(d.tolist() for d in digits), counts.tolist()):
+            out["".join(chars[d] for d in ds)] += n
+    return out
 
 
 def learn_profiles(spark: SparkSession, docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP) -> dict[str, dict[str, int]]:
-    """n-gram -> rank (from 0) for every non-null lang; ties of frequency by the n-gram."""
+    """n-gram -> rank (from 0) for every non-null lang; ties of frequency by the n-gram.
+
+    Every training text is counted, whole. A task counts its texts by language in chunks and sends sums.
+    """
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        total: dict[str, Counter] = {}
         for batch in batches:
-            words: dict[str, Counter] = {}
-            for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(k, Counter()).update(letters_only(t))
-            for k, own in words.items():
-                grams: Counter = Counter()
-                for w, n in own.items():
-                    for g in grams_of(w):
-                        grams[g] += n
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(grams), pa.string()), pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["lang", "gram", "n"])
+            waiting: dict[str, list[str]] = {}
+            length: Counter = Counter()
+            for t, k in zip(batch.column(0), batch.column(1).to_pylist()):
+                t = t.as_py()
+                waiting.setdefault(k, []).append(t)
+                length[k] += len(t)
+                if length[k] >= CHUNK:
+                    total.setdefault(k, Counter()).update(count_grams(" ".join(waiting.pop(k))))
+                    length[k] = 0
+            for k, texts in waiting.items():
+                total.setdefault(k, Counter()).update(count_grams(" ".join(texts)))
+            if sum(map(len, total.values())) > CHUNK:
+                yield from (_batch(pa, k, c) for k, c in total.items())
+                total = {}
+        yield from (_batch(pa, k, c) for k, c in total.items())
 
     train = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     counted = train.mapInArrow(count, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -81,26 +122,66 @@ def learn_profiles(spark: SparkSession, docs: DataFrame, text: str = "text", lan
     return out
 
 
+def _batch(pa, lang: str, grams: Counter):
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["lang", "gram", "n"])
+
+
 class Judge:
-    """Out-of-place distances of a text to the profiles."""
+    """Out-of-place distances of a text to the profiles.
+
+    A text's most frequent n-grams are taken among those that some profile has; the others are as far from all.
+    """
 
     def __init__(self, profiles: dict[str, dict[str, int]], doc_top: int = DOC_TOP):
-        self.profiles = sorted(profiles.items())
-        self.top, self.spell = doc_top, Speller()
+        import numpy as np
+
+        self.np, self.top = np, doc_top
+        self.langs = sorted(profiles)
+        grams = sorted({g for p in profiles.values() for g in p})
         self.missing = max((len(p) for p in profiles.values()), default=0)
+        self.ranks = np.array([[profiles[k].get(g, -1) for g in grams] for k in self.langs]).reshape(len(self.langs), len(grams))
+        letters = sorted({c for g in grams for c in g if c != " "})
+        self.base = len(letters) + 2  # 0 is the blank, the last any other letter
+        self.ids = np.where(_letters(), self.base - 1, 0).astype(np.int64)
+        for k, c in enumerate(letters):
+            self.ids[ord(c)] = k + 1
+        place = {" ": 0} | {c: k + 1 for k, c in enumerate(letters)}
+        self.known = []
+        for size in SIZES:
+            own = sorted((sum(place[c] * self.base ** (size - 1 - k) for k, c in enumerate(g)), i) for i, g in enumerate(grams) if len(g) == size)
+            codes, where = (np.array([x[k] for x in own], dtype=np.int64) for k in (0, 1))
+            if self.base**size <= TABLE:
+                full = np.full(self.base**size, len(grams), dtype=np.int32)
+                full[codes] = where
+                self.known.append((full, None))
+            else:
+                self.known.append((codes, where))
 
     def __call__(self, text: str | None) -> tuple[str, float, float]:
         """(language, score, distance as a share of the largest possible one)."""
-        words = letters_only(text) if text else []
-        if not words or not self.profiles:
+        np = self.np
+        points = letter_codes(text) if text else ()
+        if len(points) < 2 or not self.langs:
             return "und", 0.0, 1.0
-        counts = Counter(chain.from_iterable(map(self.spell, words)))
-        mine = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: self.top]]
-        most = self.missing * len(mine)
-        far = sorted((sum(abs(i - p[g]) if g in p else self.missing for i, g in enumerate(mine)), name) for name, p in self.profiles)
-        best = far[0]
-        second = far[1][0] if len(far) > 1 else most
-        return best[1], min(1.0, max(0.0, (second - best[0]) / second)) if second else 0.0, best[0] / most
+        ids, n = self.ids[points], self.ranks.shape[1]
+        counts = np.zeros(n + 1, dtype=np.int64)
+        for size, (codes, where) in zip(SIZES, self.known):
+            own = _grams(ids, size, self.base)
+            if where is None:
+                counts += np.bincount(codes[own], minlength=n + 1)
+            elif len(codes):
+                at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+                counts += np.bincount(where[at[codes[at] == own]], minlength=n + 1)
+        order = np.argsort(-counts[:n], kind="stable")[: self.top]
+        order = order[counts[order] > 0]
+        if not len(order):
+            return self.langs[0], 0.0, 1.0
+        ranks = self.ranks[:, order]
+        far = np.where(ranks >= 0, np.abs(ranks - np.arange(len(order))), self.missing).sum(axis=1)
+        most, by = self.missing * len(order), np.argsort(far, kind="stable")
+        second = int(far[by[1]]) if len(by) > 1 else most
+        best = int(far[by[0]])
+        return self.langs[by[0]], min(1.0, max(0.0, (second - best) / second)) if second else 0.0, best / most
 
 
 def predict(docs: DataFrame, profiles: dict[str, dict[str, int]], text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "distance")) -> DataFrame:
@@ -120,7 +201,7 @@ def predict(docs: DataFrame, profiles: dict[str, dict[str, int]], text: str = "t
 
         judge = Judge(profiles)
         for batch in batches:
-            got = [judge(t) for t in batch.column(text).to_pylist()]
+            got = [judge(t.as_py()) for t in batch.column(text)]
             more = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*columns, *names])
 

@@ -240,11 +240,18 @@ def test_language_id(spark, edge_docs, no_docs):
     assert {r.lang_pred for r in language_id.predict(df, {}).collect()} == {"und"}
 
 
+def grams_of(word):
+    s = f" {word} "
+    return [s[i : i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1) if s[i : i + n] != " "]
+
+
 def test_language_profiles_equal_plain_counts(spark):
     rows = [("abc abd é", "x"), ("abc", "x"), ("zz top", "y"), (None, "x"), ("nolang", None)]
     got = language_id.learn_profiles(spark, spark.createDataFrame(rows, "text string, lang string"), top=12)
+    mixed = "".join(chr(c) for c in range(0x4E00, 0x4E00 + 400)) + " 漢字 a-b_c É"
+    assert language_id.count_grams(mixed) == Counter(g for w in re.findall(r"[^\W\d_]+", mixed.lower()) for g in grams_of(w))
     for lang in ("x", "y"):
-        c = Counter(g for t, k in rows if k == lang and t for w in re.findall(r"[^\W\d_]+", t.lower()) for g in language_id.grams_of(w))
+        c = Counter(g for t, k in rows if k == lang and t for w in re.findall(r"[^\W\d_]+", t.lower()) for g in grams_of(w))
         want = [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:12]]
         assert [g for g, _ in sorted(got[lang].items(), key=lambda x: x[1])] == want
 
