@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annalist.operators.lineage import cut
+
 MAX_DEPTH = 32
 
 
@@ -20,12 +22,12 @@ def inner_edges(edges: DataFrame) -> DataFrame:
 
 def ancestors(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(node, ancestor, distance) over the inner edges, the shortest distance, cycles walked once."""
-    inner = inner_edges(edges).cache()
+    inner = cut(inner_edges(edges))
     reached = inner.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
     frontier = reached
     for k in range(2, max_depth + 1):
         step = frontier.join(inner, frontier.ancestor == inner.child).select("node", F.col("parent").alias("ancestor"), F.lit(k).alias("distance")).distinct()
-        frontier = step.join(reached.select(F.col("node").alias("n"), F.col("ancestor").alias("a")), (F.col("node") == F.col("n")) & (F.col("ancestor") == F.col("a")), "left_anti").cache()
+        frontier = cut(step.join(reached.select(F.col("node").alias("n"), F.col("ancestor").alias("a")), (F.col("node") == F.col("n")) & (F.col("ancestor") == F.col("a")), "left_anti"))
         if frontier.isEmpty():
             break
         reached = reached.unionAll(frontier)
@@ -34,12 +36,12 @@ def ancestors(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
 
 def descendants(edges: DataFrame, root: str, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(node) of everything below `root`, leaves included."""
-    inner = inner_edges(edges).cache()
+    inner = cut(inner_edges(edges))
     below = edges.sparkSession.createDataFrame([(root,)], "node string")
     frontier = below
     for _ in range(max_depth):
         step = inner.join(frontier, inner.parent == frontier.node).select(F.col("child").alias("node")).distinct()
-        frontier = step.join(below.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left_anti").cache()
+        frontier = cut(step.join(below.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left_anti"))
         if frontier.isEmpty():
             break
         below = below.unionAll(frontier)
@@ -66,10 +68,10 @@ def chains(nodes: DataFrame, edges: DataFrame, root: str, max_depth: int = MAX_D
     up = first_parents(edges)
     out = nodes.join(edges, nodes.node == edges.child).select("node", F.array("parent").alias("chain"), F.col("parent").alias("last"))
     up = up.join(edges.select(F.col("parent").alias("x")).distinct(), F.col("child") == F.col("x"), "left_semi").where(F.col("parent") != root)
-    up = up.select(F.col("child").alias("c"), F.col("parent").alias("next")).cache()
+    up = cut(up.select(F.col("child").alias("c"), F.col("parent").alias("next")))
     walk, depth = up, 0
     while depth < max_depth and not walk.isEmpty():
-        walk = walk.join(up.select(F.col("c").alias("c2"), F.col("next").alias("n2")), F.col("next") == F.col("c2")).select("c", F.col("n2").alias("next")).cache()
+        walk = cut(walk.join(up.select(F.col("c").alias("c2"), F.col("next").alias("n2")), F.col("next") == F.col("c2")).select("c", F.col("n2").alias("next")))
         depth += 1
     for _ in range(depth):
         out = out.join(up, F.col("last") == F.col("c"), "left").select(
@@ -82,7 +84,7 @@ def chains(nodes: DataFrame, edges: DataFrame, root: str, max_depth: int = MAX_D
 
 def levels(edges: DataFrame, root: str, kind_level: DataFrame | None = None, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(node, level) of the divisions: one below the first parent, and at least the kind's level; the root is 0."""
-    up = first_parents(inner_edges(edges)).cache()
+    up = cut(first_parents(inner_edges(edges)))
     known = edges.sparkSession.createDataFrame([(root, 0)], "node string, level int")
     floor = kind_level.select(F.col("node").alias("k"), F.col("level").alias("least")) if kind_level is not None else None
     frontier = known
@@ -90,7 +92,7 @@ def levels(edges: DataFrame, root: str, kind_level: DataFrame | None = None, max
         step = up.join(frontier, up.parent == frontier.node).select(F.col("child").alias("node"), (F.col("level") + 1).alias("level"))
         if floor is not None:
             step = step.join(floor, F.col("node") == F.col("k"), "left").select("node", F.greatest("level", F.coalesce("least", F.lit(0))).alias("level"))
-        frontier = step.cache()
+        frontier = cut(step)
         if frontier.isEmpty():
             break
         known = known.unionAll(frontier)

@@ -200,7 +200,7 @@ def closure(spark, d):
 _RING = "SELECT 'k' || o_custkey AS child, 'k' || (CASE WHEN o_custkey % 10 = 9 THEN o_custkey - 9 ELSE o_custkey + 1 END) AS parent FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey < 60)"
 
 
-@register("cycles", f"+ g AS ({_RING}), up(node, at, n) AS (SELECT child, parent, 1 FROM g UNION SELECT node, parent, n + 1 FROM up JOIN g ON at = child WHERE n < 12) SELECT DISTINCT node FROM up WHERE node = at")
+@register("cycles", f"+ g AS ({_RING}), up(node, top, n) AS (SELECT child, parent, 1 FROM g UNION SELECT node, parent, n + 1 FROM up JOIN g ON top = child WHERE n < 12) SELECT DISTINCT node FROM up WHERE node = top")
 def cycles(spark, d):
     return graph.cycles(spark.sql(_RING.replace("FROM orders", "FROM {orders}"), orders=table(spark, d, "orders")))
 
@@ -354,9 +354,9 @@ def knn_country(spark, d):
     return spatial.transfer_nearest(a, b, "nation")
 
 
-@register("spatial_anti", _PAIRS + " SELECT id FROM points WHERE id LIKE 's%' AND id NOT IN (SELECT a_id FROM near WHERE km <= 1.5)")
+@register("spatial_anti", _PAIRS + " SELECT id FROM points WHERE id LIKE 's%' AND id NOT IN (SELECT a_id FROM near WHERE km <= 4)")
 def spatial_anti(spark, d):
-    return spatial.far_from(*_two(spark, d), 1.5).select("id")
+    return spatial.far_from(*_two(spark, d), 4.0).select("id")
 
 
 @register("one_per_item", _PAIRS + " SELECT a_id AS place_id, b_id AS item_id, row_number() OVER (PARTITION BY b_id ORDER BY km, a_id) = 1 AS wins FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY km, b_id) AS r FROM near WHERE km <= 25) WHERE r = 1")
@@ -459,7 +459,7 @@ def digit_neighbours(spark, d):
     return n.groupBy("n").agg(F.count("*").alias("k"), F.sum("w").alias("total"))
 
 
-@register("expand_numbers", "SELECT 1 AS id, '1475,1537,1538,2240,2267,709,710,711,712,713,714,715' AS numbers", views=False)
+@register("expand_numbers", "SELECT 1 AS id, '1475,1537,1538,2240,2267,2709,2710,2711,2712,2713,2714,2715' AS numbers", views=False)
 def expand_numbers(spark, d):
     rows = strings(spark, [(1, ["1475", "1537", "38", "2240", "67", "709-715"])], "id int, t array<string>")
     return rows.select("id", F.array_join(F.transform(text.expand_numbers(F.col("t")), lambda x: x.cast("string")), ",").alias("numbers"))
