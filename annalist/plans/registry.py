@@ -354,9 +354,9 @@ def knn_country(spark, d):
     return spatial.transfer_nearest(a, b, "nation")
 
 
-@register("spatial_anti", _PAIRS + " SELECT id FROM points WHERE id LIKE 's%' AND id NOT IN (SELECT a_id FROM near WHERE km <= 4)")
+@register("spatial_anti", _PAIRS + " SELECT id FROM points WHERE id LIKE 's%' AND id NOT IN (SELECT a_id FROM near WHERE km <= 0.5)")
 def spatial_anti(spark, d):
-    return spatial.far_from(*_two(spark, d), 4.0).select("id")
+    return spatial.far_from(*_two(spark, d), 0.5).select("id")
 
 
 @register("one_per_item", _PAIRS + " SELECT a_id AS place_id, b_id AS item_id, row_number() OVER (PARTITION BY b_id ORDER BY km, a_id) = 1 AS wins FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY km, b_id) AS r FROM near WHERE km <= 25) WHERE r = 1")
