@@ -88,9 +88,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     worded = with_words(plain, "text", "words", "templates").drop("text")
     last = F.size("templates") - WINDOW
-    # only the hashes go through explode: a row that carried the words would copy them for each window
+    # only the hashes go through explode, as a row that carried the words would copy them for each window; and through
+    # the outer one, as Spark infers a filter on the array of a plain one and evaluates it below these projections
     hashes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: _window(F.col("templates"), i)))
-    probes = worded.select("doc_id", hashes.alias("hashes")).select("doc_id", F.posexplode("hashes").alias("at", "probe"))
+    probes = worded.select("doc_id", hashes.alias("hashes")).select("doc_id", F.posexplode_outer("hashes").alias("at", "probe"))
     scratch = Scratch(docs.sparkSession)
     n_words = benchmark.agg(F.sum(F.size(F.split(text, r"\s+")))).first()[0] or 0
     blocks = -(-n_words // block_words) or 1
@@ -111,7 +112,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
         length = h["start"] - first + h["item_size"] + slack
         return F.struct(h["item_key"].alias("hit_key"), (h["start"] - first).alias("shift"), F.slice("words", first + 1, length).alias("w"), F.slice("templates", first + 1, length).alias("t"))
 
-    found = found.select("doc_id", F.explode(F.transform("hits", cut)).alias("x")).select("doc_id", "x.*")
+    found = found.select("doc_id", F.explode_outer(F.transform("hits", cut)).alias("x")).select("doc_id", "x.*")
     out = found.join(F.broadcast(items) if blocks == 1 else items, F.col("hit_key") == F.col("item_key"))
     share = lambda a, b: F.size(F.array_intersect(_windows(F.col(a)), _windows(F.col(b)))) / F.size(_windows(F.col(a)))
     out = out.withColumn("similarity", share("item_templates", "t")).where(F.col("similarity") >= similarity)
