@@ -95,7 +95,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     bounds = ids.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("d")).first()
     cuts = sorted(set(quantiles or []))
     batch = sum(((F.col("doc_id") <= c).cast("int") for c in cuts), F.lit(0))  # 0: the largest ids
-    pairs = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.explode(hashed).alias("key"))
+    pairs = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.explode_outer(hashed).alias("key")).where("key IS NOT NULL")  # a plain explode hashes twice
     pairs = pairs.select("doc_id", F.unhex("key").alias("key"), batch.alias("batch"))
     if bounds["n"] != bounds["d"]:
         pairs = pairs.distinct()
