@@ -1,6 +1,6 @@
 """Quality rules (7): text counts, and a hashed n-gram log-likelihood ratio, in Spark operators only.
 
-Two scans of the texts. The first counts the hashed word 1- and 2-grams of all documents (raw corpus) and of the
+Two scans of the texts. The first counts the hashed 1- and 2-grams of words and signs of all documents (raw corpus) and of the
 trusted ones (target) into BUCKETS multinomials, pre-aggregated in each task. The second looks each n-gram's ratio
 up in that table (BUCKETS rows at most, so its broadcast has a fixed bound) and sums per row in the task that read
 the row. No text is shuffled.
@@ -21,6 +21,9 @@ SMOOTHING = 0.5
 THRESHOLD = -0.35
 SYMBOLS = "[#*$%&|<>]"
 SPAN = 8
+#: The n-grams' words: runs of letters and digits, and runs of other signs, each by itself. Signs glued to words are then
+#: a few frequent words of their own, whatever the corpus' size, and not many rare ones that share others' buckets.
+PIECE = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 #: What `features` adds.
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -59,10 +62,16 @@ def features(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("base_failed", failed).drop(words, hashes, windows, twice)
 
 
+def pieces_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0))
+
+
 def _buckets(words: Column) -> Column:
     """The buckets of all words and of all pairs of neighbours, as an array.
 
-    The array is made before it is exploded: a row that carried the words along would copy them for each n-gram.
+    The array is made before it is exploded: a row that carried the words along would copy them for each n-gram. And
+    it goes through explode_outer: for a plain explode Spark infers a filter on the array and evaluates it below the
+    projections, words and all, for each element.
     """
     bucket = lambda *ws: F.pmod(F.xxhash64(*ws), F.lit(BUCKETS)).cast("int")
     return F.concat(F.transform(words, lambda w: bucket(w)), F.transform(F.slice(words, 2, F.lit(1 << 30)), lambda w, i: bucket(F.get(words, i), w)))
@@ -74,9 +83,9 @@ def ratio_table(docs: DataFrame, target_ids: DataFrame, text: str = "text") -> D
     docs: (doc_id, text), all of them. target_ids: (target_id), MAX_TARGET_DOCS rows at most.
     """
     marked = docs.join(F.broadcast(target_ids), docs.doc_id == target_ids.target_id, "left")
-    own = marked.select(F.col("target_id").isNotNull().alias("trusted"), words_of(F.col(text)).alias("w"))
-    grams = own.select("trusted", _buckets(F.col("w")).alias("b")).select("trusted", F.explode("b").alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("trusted").alias("target"))
+    own = marked.select(F.col("target_id").isNotNull().alias("trusted"), pieces_of(F.col(text)).alias("w"))
+    grams = own.select("trusted", _buckets(F.col("w")).alias("b")).select("trusted", F.explode_outer("b").alias("bucket"))
+    counts = grams.where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("trusted").alias("target"))
     totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
     part = lambda n, total: F.log((F.col(n) + SMOOTHING) / (F.col(total) + SMOOTHING * BUCKETS))
     llr = F.when(F.col("all_target") > 0, part("target", "all_target") - part("raw", "all_raw")).otherwise(0.0)
@@ -100,7 +109,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     table_ = ratio_table(plain, trusted_ids(labels))
-    rows = features(plain).select("doc_id", *COUNTS, "base_failed", words_of(F.col("text")).alias("w"), F.monotonically_increasing_id().alias("row"))
+    rows = features(plain).select("doc_id", *COUNTS, "base_failed", pieces_of(F.col("text")).alias("w"), F.monotonically_increasing_id().alias("row"))
     grams = rows.withColumn("b", _buckets(F.col("w"))).select("doc_id", *COUNTS, "base_failed", "row", F.explode_outer("b").alias("gram"))
     scored = grams.join(F.broadcast(table_), grams.gram == table_.bucket, "left")
     first = lambda c: F.first(c).alias(c)
