@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from annalist.llm.common import WS, fresh, table, words_of
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 #: The target multinomial is fitted on so many trusted documents at most, those of the smallest hashes of doc_id.
 MAX_TARGET_DOCS = 20_000
 SMOOTHING = 0.5
