@@ -44,7 +44,7 @@ def share_overflow(holdings: DataFrame, place: str = "place", num: str = "num",
 def duplicates(rows: DataFrame, key: str, line: str) -> DataFrame:
     """(key, line, first_line) of every row after the first of its key."""
     firsts = rows.groupBy(key).agg(F.min(line).alias("first_line"), F.count("*").alias("n")).where("n > 1")
-    return rows.join(firsts.select(F.col(key).alias("k"), "first_line"), F.col(key) == F.col("k")).where(F.col(line) > F.col("first_line")).select(key, line, "first_line")
+    return rows.join(firsts.select(F.col(key).alias("__k"), "first_line"), F.col(key) == F.col("__k")).where(F.col(line) > F.col("first_line")).select(key, line, "first_line")
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -57,8 +57,8 @@ def first_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def mode_fill(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """`rows` with blank values filled by the key's most frequent one, the first seen of equals."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("n"), F.min(order).alias("seen"))
-    modes = counts.groupBy(key).agg(F.min_by(value, F.struct(-F.col("n"), "seen")).alias("mode")).withColumnRenamed(key, "k")
-    return rows.join(modes, F.col(key) == F.col("k"), "left").select(*[F.coalesce(value, "mode").alias(value) if c == value else c for c in rows.columns])
+    modes = counts.groupBy(key).agg(F.min_by(value, F.struct(-F.col("n"), "seen")).alias("__mode")).withColumnRenamed(key, "__k")
+    return rows.join(modes, F.col(key) == F.col("__k"), "left").select(*[F.coalesce(value, "__mode").alias(value) if c == value else c for c in rows.columns])
 
 
 def holder_rank(holdings: DataFrame) -> DataFrame:
