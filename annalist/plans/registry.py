@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions import text
-from annalist.operators import aggregate, geocode, graph, match, ordered, parse, reconcile, spatial, validate
+from annalist.operators import aggregate, geocode, graph, match, ordered, parse, reconcile, review, spatial, validate
 from annalist.plans import query
 from annalist.plans.views import SQL, table, view
 
@@ -587,3 +587,27 @@ def alignment_cost(spark, d):
 
     rows = table(spark, d, "supplier").select(F.translate(F.col("s_suppkey").cast("string"), "105", "lO3").alias("token"), F.col("s_suppkey").cast("bigint").alias("number"))
     return rows.select("token", "number", F.round(number_cost("token", "number"), 6).alias("cost"))
+
+
+# --- reviews ----------------------------------------------------------------------------------
+
+
+@register("point_pick", "SELECT id AS pid, CASE WHEN lon > 6.0005 AND lon < 6.5005 AND lat > 48.2005 AND lat < 48.8005 THEN 'small' ELSE 'big' END AS area FROM points WHERE lon > 5.5005 AND lon < 7.5005 AND lat > 48.0005 AND lat < 49.5005")
+def point_pick(spark, d):
+    box = lambda w, s, e, n: [[w, s], [e, s], [e, n], [w, n]]
+    areas = strings(spark, [("big", 9, box(5.5005, 48.0005, 7.5005, 49.5005)), ("small", 2, box(6.0005, 48.2005, 6.5005, 48.8005))], "area string, settlements int, ring array<array<double>>")
+    return review.pick(view(spark, d, "points").select(F.col("id").alias("pid"), F.col("lon").alias("x"), F.col("lat").alias("y")), areas, 0.5)
+
+
+@register("canonical_spellings")
+def canonical_spellings(spark, d):
+    p, index = _names(spark, d)
+    own = p.where("no % 20 < 2").select("name", F.lit(2).alias("weight"))
+    return review.canonical_spellings(own.unionAll(index.where("row_id % 20 < 2").select("name", F.lit(1).alias("weight"))))
+
+
+@register("page_lookup")
+def page_lookup(spark, d):
+    p, index = _names(spark, d)
+    page = lambda c: (F.col(c) % 90 + 10).cast("string").alias("page")
+    return review.find_on_pages(p.where("no % 10 = 0").select(F.col("no").alias("qid"), page("no"), "name"), index.select("row_id", page("row_id"), "name")).select("qid", "row_id", F.round("ratio", 6).alias("ratio"))
