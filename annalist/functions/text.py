@@ -10,32 +10,37 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Ligatures, patterns and word lists that decide the results.
 LIGATURES = (("œ", "oe"), ("Œ", "Oe"), ("æ", "ae"), ("Æ", "Ae"))
 MARKS = r"\p{M}"
-
-
-def _decomposed() -> tuple[str, str, dict[str, str]]:
-    """From the rule (compatibility decomposition without marks) for U+00A0 to U+024F: letters to one, and to more."""
-    one, to, more = "", "", {}
+ARTICLES = r"\((?:la|le|les|l')\)|^(?:la|le|les|l')\s+|^l'"
+LEADING_ARTICLES = r"^(?:la|le|les|l')\s+|\((?:la|le|les|l')\)"
+TRAILING_ARTICLE = r"(?i)^(.*?)\s*[({]\s*(la|le|les|l')\s*[)}]\s*$"
+SPECKS = r"""(?U)(?<=[\w)\]])(\.(?:\s?\.)*)(?:[jiIl1!{}\\|'"*s]{1,2}|\s[jiIl1!{}\\|'"*]|\s?\[\*\])$"""
+NAME_SPELLINGS = (("sainct", "saint"), ("ssweiller", "sweiler"), ("weiller", "weiler"))
+OLD_SPELLINGS = (("sainct", "saint"), ("ste-", "sainte-"), ("st-", "saint-"))
+LETTER_SPELLINGS = (("y", "i"), ("cq", "c"), ("ck", "c"))
+OLD_ENDING = "(?<=[aeiou])(?:lx|ulx|ux)$"
+
+
+def _decomposed() -> tuple[str, str]:
+    """From the rule (compatibility decomposition without marks) for U+00A0 to U+024F: letters that become one other."""
+    one, to = "", ""
     for cp in range(0xA0, 0x250):
         c = chr(cp)
         plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
         if plain != c and len(plain) == 1:
             one, to = one + c, to + plain
-        elif plain != c:
-            more[c] = plain
-    return one, to, more
+    return one, to
 
 
-_ONE, _TO, _MORE = _decomposed()
+_ONE, _TO = _decomposed()
 
 
 def fold(c: Column, ligatures: bool = True) -> Column:
     """Lower case without accents; `ligatures` also spells out oe and ae (trap T3: two of three callers don't)."""
     for a, b in (LIGATURES if ligatures else ()):
         c = F.replace(c, F.lit(a), F.lit(b))
-    for a, b in _MORE.items():
-        c = F.when(c.contains(a), F.replace(c, F.lit(a), F.lit(b))).otherwise(c) if a in "½¼¾" else c
     return F.lower(F.regexp_replace(F.translate(c, _ONE, _TO), MARKS, ""))
 
 
@@ -46,8 +51,8 @@ def slug(c: Column, ligatures: bool = True) -> Column:
 
 def name_key(c: Column) -> Column:
     """Loose key of a name: no article, Sainct = Saint, weiller = weiler, letters only, c = e and t = l."""
-    f = F.regexp_replace(fold(c), r"\((?:la|le|les|l')\)|^(?:la|le|les|l')\s+|^l'", "")
-    for a, b in (("sainct", "saint"), ("ssweiller", "sweiler"), ("weiller", "weiler")):
+    f = F.regexp_replace(fold(c), ARTICLES, "")
+    for a, b in NAME_SPELLINGS:
         f = F.replace(f, F.lit(a), F.lit(b))
     return F.translate(F.regexp_replace(f, "[^a-z]", ""), "ct", "el")
 
@@ -77,8 +82,8 @@ def fix_name(c: Column) -> Column:
 def display_name(c: Column) -> Column:
     """An index name as it is shown: article first, note calls and bracketed remarks left out."""
     c = F.btrim(F.regexp_replace(c, r"(?U)[*\d]+(?=\s|$|\()", ""), F.lit(" ,."))
-    article = F.regexp_extract(c, r"(?i)^(.*?)\s*[({]\s*(la|le|les|l')\s*[)}]\s*$", 2)
-    stem = F.regexp_extract(c, r"(?i)^(.*?)\s*[({]\s*(la|le|les|l')\s*[)}]\s*$", 1)
+    article = F.regexp_extract(c, TRAILING_ARTICLE, 2)
+    stem = F.regexp_extract(c, TRAILING_ARTICLE, 1)
     head = F.concat(F.upper(F.substring(article, 1, 1)), F.lower(F.substring(article, 2, 9)))
     put = F.concat(head, F.when(head.endswith("'"), "").otherwise(" "), stem)
     bare = F.btrim(F.regexp_replace(c, r"\s*[({][^)}]*[)}]?\s*$", ""), F.lit(" ,."))
@@ -120,7 +125,7 @@ def fix_circumflex(c: Column) -> Column:
 
 def strip_trailing_specks(c: Column) -> Column:
     """What a scan adds after a line's last full stop."""
-    return F.regexp_replace(c, r"""(?U)(?<=[\w)\]])(\.(?:\s?\.)*)(?:[jiIl1!{}\\|'"*s]{1,2}|\s[jiIl1!{}\\|'"*]|\s?\[\*\])$""", "$1")
+    return F.regexp_replace(c, SPECKS, "$1")
 
 
 def fix_words(c: Column, fixes: dict[str, str]) -> Column:
@@ -232,14 +237,14 @@ def expand_numbers(tokens: Column) -> Column:
 
 def spelling_key(c: Column) -> Column:
     """Old and modern spellings together: no articles, Sainct = Saint, y = i, doubled letters single, endings dropped."""
-    f = F.regexp_replace(fold(c), r"^(?:la|le|les|l')\s+|\((?:la|le|les|l')\)", "")
-    for a, b in (("sainct", "saint"), ("ste-", "sainte-"), ("st-", "saint-")):
+    f = F.regexp_replace(fold(c), LEADING_ARTICLES, "")
+    for a, b in OLD_SPELLINGS:
         f = F.replace(f, F.lit(a), F.lit(b))
     f = F.regexp_replace(f, "[^a-z]", "")
-    for a, b in (("y", "i"), ("cq", "c"), ("ck", "c")):
+    for a, b in LETTER_SPELLINGS:
         f = F.replace(f, F.lit(a), F.lit(b))
     f = F.regexp_replace(f, r"(.)\1+", "$1")
-    return F.regexp_replace(F.regexp_replace(f, "(?<=[aeiou])(?:lx|ulx|ux)$", "l"), "[sxz]$", "")
+    return F.regexp_replace(F.regexp_replace(f, OLD_ENDING, "l"), "[sxz]$", "")
 
 
 #: Letter groups, then letters, that a coarse key makes equal.
