@@ -516,32 +516,32 @@ def _names(spark, d):
 @register("qgram_candidates")
 def qgram_candidates(spark, d):
     p, index = _names(spark, d)
-    return match.qgram_candidates(p.where("no % 50 = 0").select(text.spelling_key(F.col("name")).alias("q")), index.select(text.spelling_key(F.col("name")).alias("key")))
+    return match.qgram_candidates(p.select(text.spelling_key(F.col("name")).alias("q")), index.select(text.spelling_key(F.col("name")).alias("key")))
 
 
 @register("match_ladder")
 def match_ladder(spark, d):
     p, index = _names(spark, d)
-    return match.match_ladder(p.where("no % 10 < 3"), index).select("no", "row_id", "how", F.round("sim", 6).alias("sim"), "confidence")
+    return match.match_ladder(p, index).select("no", "row_id", "how", F.round("sim", 6).alias("sim"), "confidence")
 
 
 @register("fuzzy_best_name")
 def fuzzy_best_name(spark, d):
     p, index = _names(spark, d)
-    pairs = match.similarity(match.name_pairs(p.where("no % 20 = 0"), index).join(p.select("no", F.col("name").alias("a")), "no").join(index.select("row_id", F.col("name").alias("b")), "row_id"), "a", "b")
+    pairs = match.similarity(match.name_pairs(p, index).join(p.select("no", F.col("name").alias("a")), "no").join(index.select("row_id", F.col("name").alias("b")), "row_id"), "a", "b")
     return pairs.where("sim >= 0.9").groupBy("no").agg(F.max_by("row_id", F.struct("sim", (-F.col("row_id")).alias("r"))).alias("row_id"), F.round(F.max("sim"), 6).alias("sim"))
 
 
 @register("twins")
 def twins(spark, d):
     p, index = _names(spark, d)
-    return match.twins(p.select(F.col("no").alias("id"), "name").where("id % 20 = 0"), index.select(F.col("row_id").alias("id"), "name"))
+    return match.twins(p.select(F.col("no").alias("id"), "name"), index.select(F.col("row_id").alias("id"), "name"))
 
 
 @register("reconcile")
 def reconcile_numbers(spark, d):
     p, index = _names(spark, d)
-    return reconcile.resolve_numbers(index.where("row_id % 10 < 3").select("row_id", "name", "numbers"), p)
+    return reconcile.resolve_numbers(index.select("row_id", "name", "numbers"), p)
 
 
 @register("ocr_search")
@@ -602,12 +602,12 @@ def point_pick(spark, d):
 @register("canonical_spellings")
 def canonical_spellings(spark, d):
     p, index = _names(spark, d)
-    own = p.where("no % 20 < 2").select("name", F.lit(2).alias("weight"))
-    return review.canonical_spellings(own.unionAll(index.where("row_id % 20 < 2").select("name", F.lit(1).alias("weight"))))
+    own = p.select("name", F.lit(2).alias("weight"))
+    return review.canonical_spellings(own.unionAll(index.select("name", F.lit(1).alias("weight"))))
 
 
 @register("page_lookup")
 def page_lookup(spark, d):
     p, index = _names(spark, d)
     page = lambda c: (F.col(c) % 90 + 10).cast("string").alias("page")
-    return review.find_on_pages(p.where("no % 10 = 0").select(F.col("no").alias("qid"), page("no"), "name"), index.select("row_id", page("row_id"), "name")).select("qid", "row_id", F.round("ratio", 6).alias("ratio"))
+    return review.find_on_pages(p.select(F.col("no").alias("qid"), page("no"), "name"), index.select("row_id", page("row_id"), "name")).select("qid", "row_id", F.round("ratio", 6).alias("ratio"))
