@@ -1,10 +1,12 @@
 """Benchmark decontamination (6): template windows with typed placeholders, hash-joined, slots checked, in Spark only.
 
 Texts become template words: numbers, units after numbers and names inside a sentence turn into placeholders, so a
-re-parameterised question has the windows of its original. Each benchmark item gives its disjoint five-word windows
-as anchors: a text that keeps 0.8 of an item's windows keeps one of the anchors whole, wherever its changes lie.
-Documents offer all their windows to that table, the stretch around a hit is compared with the whole item, and the
-values in its slots must correspond one to one. The anchors of a block of items are broadcast, and a block is
+re-parameterised question has the windows of its original. The plain lower-cased words stand beside them, as a word
+is a name or not by the case and the words around it. Each benchmark item gives one more of its different five-word
+windows as anchors than a text may lack that keeps 0.8 of them (all windows of short items), so such a text keeps one
+of the anchors whole, wherever its changes lie. Documents offer all their windows to that table, the stretch around a
+hit is compared with the whole item, and the values in its slots must correspond one to one unless the plain words
+suffice. The anchors of a block of items are broadcast, and a block is
 BLOCK_WORDS words at most; a larger benchmark takes more blocks, each of which reads the documents once more.
 Documents are never shuffled, only their finds.
 """
@@ -18,7 +20,7 @@ from annalist.llm.common import Scratch, fresh, table
 
 WINDOW = 5
 SIMILARITY = 0.8
-#: Words of the items whose anchors are broadcast at once (some 60 bytes a word).
+#: Words of the items whose anchors are broadcast at once (some 60 bytes a word, twice that if all windows have slots).
 BLOCK_WORDS = 500_000
 #: The finds' documents are broadcast to read their texts once more, up to so many, and joined by shuffle beyond.
 BROADCAST_DOCS = 200_000
@@ -52,53 +54,75 @@ def template(word: Column) -> Column:
     return F.when(first.isin(NAME, NUMBER, UNIT), first).otherwise(word)
 
 
+def unmarked(word: Column) -> Column:
+    """The word without a slot's mark."""
+    return F.when(F.substring(word, 1, 1).isin(NAME, NUMBER, UNIT), F.substr(word, F.lit(2))).otherwise(word)
+
+
 def _window(words: Column, at: Column) -> Column:
     return F.xxhash64(*[F.get(words, at + k) for k in range(WINDOW)])
 
 
+def _all_windows(words: Column) -> Column:
+    """The hashes of all windows of an array of words, in order."""
+    last = F.size(words) - WINDOW
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: _window(words, i))).otherwise(F.array().cast("array<bigint>"))
+
+
 def _windows(words: Column) -> Column:
     """The hashes of all windows of an array of words, each once."""
-    last = F.size(words) - WINDOW
-    return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: _window(words, i)))).otherwise(F.array().cast("array<bigint>"))
+    return F.array_distinct(_all_windows(words))
 
 
 def items_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_key, item_id, item_words, item_templates): the different items of five words or more."""
+    """(item_key, item_id, item_words, item_templates, item_plain): the different items of five words or more."""
     own = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).distinct()
     own = with_words(own.withColumn("item_key", F.xxhash64("item_id", "text")), "text", "item_words", "item_templates")
-    return own.drop("text").where(F.size("item_words") >= WINDOW)
+    return own.drop("text").where(F.size("item_words") >= WINDOW).withColumn("item_plain", F.transform("item_words", unmarked))
 
 
-def anchors(items: DataFrame) -> DataFrame:
-    """(hash, item_at, item_key, item_size): the disjoint windows of the items."""
-    at = F.sequence(F.lit(0), F.size("item_words") - WINDOW, F.lit(WINDOW))
-    hashes = F.transform(at, lambda i: F.struct(i.alias("item_at"), _window(F.col("item_templates"), i).alias("hash")))
-    return items.select("item_key", F.size("item_words").alias("item_size"), F.explode(hashes).alias("x")).select("item_key", "item_size", "x.item_at", "x.hash")
+def anchors(items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(hash, item_at, item_key, item_size): windows of the items, by templates and by plain words.
+
+    Of n different windows a text may lack (1 - similarity) n; every step-th one and the last are more than that.
+    """
+    step = max(1, int(1 / (1 - similarity) + 1e-9)) if similarity < 1 else 1 << 30
+    out = None
+    for words in ("item_templates", "item_plain"):
+        own = items.select("item_key", F.size(words).alias("item_size"), _all_windows(F.col(words)).alias("all"))
+        own = own.withColumn("own", F.array_distinct("all"))
+        few = F.filter("own", lambda x, i: (F.size("own") <= 2 * WINDOW) | (i % step == 0) | (i == F.size("own") - 1))
+        own = own.select("item_key", "item_size", F.explode(F.transform(few, lambda x: F.struct((F.array_position("all", x) - 1).cast("int").alias("item_at"), x.alias("hash")))).alias("x"))
+        out = own if out is None else out.unionAll(own)
+    return out.select("item_key", "item_size", "x.item_at", "x.hash").distinct()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, similarity, exact): the documents that hold an item, one row for each pair.
 
-    similarity: share of the item's template windows found in the stretch. A pair counts from `similarity` on if its
-    slots correspond (an item's value always stands for the same value of the document), or if the words themselves
-    reach `similarity`; exact tells the latter. Items and documents of fewer than five words, null texts and empty
-    tables have no pairs. Repeated items and rows count once; null doc_ids cannot be told apart and are one; a null
-    item_id stays null. Other columns are ignored.
+    similarity: share of the item's windows found in the stretch, by templates or by plain lower-cased words, whichever
+    is more. A pair counts from `similarity` on if its slots correspond (an item's value always stands for the same
+    value of the document), or if the plain words themselves reach `similarity`; exact tells the latter. Items and
+    documents of fewer than five words, null texts and empty tables have no pairs. Repeated items and rows count once;
+    null doc_ids cannot be told apart and are one; a null item_id stays null. Other columns are ignored.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     worded = with_words(plain, "text", "words", "templates").drop("text")
-    last = F.size("templates") - WINDOW
     # only the hashes go through explode, as a row that carried the words would copy them for each window; and through
     # the outer one, as Spark infers a filter on the array of a plain one and evaluates it below these projections
-    hashes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: _window(F.col("templates"), i)))
-    probes = worded.select("doc_id", hashes.alias("hashes")).select("doc_id", F.posexplode_outer("hashes").alias("at", "probe"))
+    # the windows by plain words follow those by templates, where any word is a slot
+    n = F.size("templates") - WINDOW + 1
+    slots = F.exists("words", lambda w: F.substring(w, 1, 1).isin(NAME, NUMBER, UNIT))
+    worded = worded.select("doc_id", "templates", n.alias("n"), F.when(slots, F.transform("words", unmarked)).alias("plain"))
+    hashes = F.when(F.col("plain").isNull(), _all_windows(F.col("templates"))).otherwise(F.concat(_all_windows(F.col("templates")), _all_windows(F.col("plain"))))
+    probes = worded.select("doc_id", "n", hashes.alias("hashes")).select("doc_id", "n", F.posexplode_outer("hashes").alias("at", "probe"))
     scratch = Scratch(docs.sparkSession)
     n_words = benchmark.agg(F.sum(F.size(F.split(text, r"\s+")))).first()[0] or 0
     blocks = -(-n_words // block_words) or 1
     items, out = items_of(benchmark, text=text), None
     for b in range(blocks):
-        side = anchors(items if blocks == 1 else items.where(F.pmod("item_key", F.lit(blocks)) == b))
-        hits = probes.join(F.broadcast(side), F.col("probe") == F.col("hash")).select("doc_id", F.struct("item_key", "item_size", (F.col("at") - F.col("item_at")).alias("start")).alias("hit"))
+        side = anchors(items if blocks == 1 else items.where(F.pmod("item_key", F.lit(blocks)) == b), similarity)
+        hits = probes.join(F.broadcast(side), F.col("probe") == F.col("hash")).select("doc_id", F.struct("item_key", "item_size", (F.col("at") % F.col("n") - F.col("item_at")).alias("start")).alias("hit"))
         out = hits if out is None else out.unionAll(hits)
     hits = scratch.save(out.groupBy("doc_id").agg(F.collect_set("hit").alias("hits")).withColumnRenamed("doc_id", "hit_id"), "hits")
     few = hits.count() <= BROADCAST_DOCS
@@ -115,7 +139,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     found = found.select("doc_id", F.explode_outer(F.transform("hits", cut)).alias("x")).select("doc_id", "x.*")
     out = found.join(F.broadcast(items) if blocks == 1 else items, F.col("hit_key") == F.col("item_key"))
     share = lambda a, b: F.size(F.array_intersect(_windows(F.col(a)), _windows(F.col(b)))) / F.size(_windows(F.col(a)))
-    out = out.withColumn("similarity", share("item_templates", "t")).where(F.col("similarity") >= similarity)
+    out = out.withColumn("p", F.transform("w", unmarked)).withColumn("plain_share", share("item_plain", "p"))
+    out = out.withColumn("similarity", F.greatest(share("item_templates", "t"), "plain_share")).where(F.col("similarity") >= similarity)
     # slots side by side where the stretch follows the item
     pairs = F.array_distinct(
         F.filter(
@@ -123,7 +148,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
             lambda x: x.isNotNull(),
         )
     )
-    out = out.withColumn("pairs", pairs).withColumn("exact", share("item_words", "w") >= similarity)
+    out = out.withColumn("pairs", pairs).withColumn("exact", F.col("plain_share") >= similarity)
     heads = F.array_distinct(F.transform("pairs", lambda x: F.substring_index(x, "\n", 1)))
     out = out.where(F.col("exact") | (F.size(heads) == F.size("pairs")))
     return out.groupBy("doc_id", "item_id").agg(F.round(F.max("similarity"), 6).alias("similarity"), F.max("exact").alias("exact"))
