@@ -287,6 +287,45 @@ def test_language_profiles_equal_plain_counts(spark):
         assert [g for g, _ in sorted(got[lang].items(), key=lambda x: x[1])] == want
 
 
+def plain_distance(t, profiles, top=language_id.DOC_TOP):
+    """The out-of-place distance of a text's own n-grams to each profile."""
+    c = Counter(g for w in re.findall(r"[^\W\d_]+", t.lower()) for g in grams_of(w))
+    own = [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:top]]
+    most = max(map(len, profiles.values()))
+    return {k: sum(min(abs(p[g] - i), most) if g in p else most for i, g in enumerate(own)) / (most * len(own)) for k, p in profiles.items()}
+
+
+ENGLISH = "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood. Everyone has the right to life, liberty and security of person. "
+FRENCH = "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience et doivent agir les uns envers les autres dans un esprit de fraternité. Tout individu a droit à la vie, à la liberté et à la sûreté de sa personne. "
+FOREIGN = {
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "vi": "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hóa ban cho lý trí và lương tâm.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+    "ru with an English word": "Все люди рождаются свободными и равными в своем достоинстве и правах. the Они наделены разумом и совестью и должны поступать в духе братства.",
+    "consonants": "xkq zvr pwd qqx fgh jkl mnb vcx zsd rtp wqk xzv bnm hjk lkj gfd zxc vbn qwr tps dfg hjl kzx cvb nmq wrt psd",
+}
+
+
+def test_language_distance_counts_unknown_grams(spark):
+    rng = random.Random(8)
+    profiles = {k: {g: i for i, (g, _) in enumerate(sorted(language_id.count_grams(t).items(), key=lambda x: (-x[1], x[0]))[:400])} for k, t in (("en", ENGLISH), ("fr", FRENCH))}
+    judge = language_id.Judge(profiles)
+    long = " ".join("".join(rng.choices("abcdeéñжx漢", k=rng.randrange(1, 7))) for _ in range(2000))
+    for t in [ENGLISH, FRENCH, ENGLISH[:90], long, *FOREIGN.values()]:
+        want = plain_distance(t, profiles)
+        lang, _, far = judge(t)
+        assert far == pytest.approx(min(want.values())) and want[lang] == min(want.values())
+
+
+def test_foreign_and_mixed_texts_are_rejected(spark):
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choices((ENGLISH if k % 2 else FRENCH).split(), k=60)), "en" if k % 2 else "fr") for k in range(80)]
+    foreign = [(1000 + k, t, None) for k, t in enumerate(FOREIGN.values())]
+    docs = spark.createDataFrame(rows + foreign, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in language_id.filter_languages(spark, docs).collect()} == set(range(80))
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 
