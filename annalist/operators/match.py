@@ -108,11 +108,43 @@ def match_ladder(entries: DataFrame, index: DataFrame, old_forms: DataFrame | No
     return entries.select("no").join(chosen, "no", "left").select("no", F.coalesce("x", none).alias("x")).select("no", "x.*")
 
 
-def closest(queries: DataFrame, keys: DataFrame, cutoff: float, k: int = 1) -> DataFrame:
-    """(q, key, ratio, rank): the k closest keys of each query key, exact ones first (C9, C24, C34). Blocked by the first two letters."""
-    a = queries.select(F.col("q")).distinct().withColumn("b", F.substring("q", 1, 2))
-    b = keys.select(F.col("key")).distinct().withColumn("b", F.substring("key", 1, 2))
-    pairs = a.join(b, "b").where(F.abs(F.length("q") - F.length("key")) <= (1 - cutoff) * (F.length("q") + F.length("key")))
+def ratio_pairs(queries: DataFrame, keys: DataFrame, cutoff: float) -> DataFrame:
+    """(q, key): all pairs whose ratio can reach `cutoff`, over 0.8, and some others, by an inverted index of letter pairs.
+
+    A ratio of c over T letters in all needs M = ceil(c T / 2) matching ones, in T - 2 M + 1 runs at most, so 3 M - T - 1
+    pairs of letters stand in both keys, and of q's pairs at most 4 (1 - c) / (2 - c) a letter are lost. One more than
+    that of its pairs, the rarest, lead to every such key. Equal keys are pairs at any length.
+    """
+    if cutoff <= 0.8:
+        raise ValueError("at 0.8 and below, two short keys need not share a pair of letters")
+    a = queries.select("q").where("q <> ''").distinct()
+    b = keys.select("key").where("key <> ''").distinct()
+    right = b.select("key", F.explode(text.bigrams(F.col("key"))).alias("g"))
+    often = right.groupBy("g").agg(F.count("*").alias("n"))
+    lost = F.floor(F.length("q") * (4 * (1 - cutoff) / (2 - cutoff)) + 1e-9).cast("int")
+    left = a.select("q", F.explode(text.bigrams(F.col("q"))).alias("g")).join(often, "g", "left")
+    left = left.groupBy("q").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g"))).alias("gs"))
+    left = left.select("q", F.explode(F.slice("gs", F.lit(1), lost + 1)).alias("x")).select("q", "x.g")
+    met = left.join(right, "g").select("q", "key")
+    letters = F.length("q") + F.length("key")
+    matching = F.ceil(letters * (cutoff / 2) - 1e-9)
+    met = met.where(F.least(F.length("q"), F.length("key")) >= matching).distinct()
+    shared = F.size(F.array_intersect(text.bigrams(F.col("q")), text.bigrams(F.col("key"))))
+    met = met.where(shared >= F.size(text.bigrams(F.col("q"))) - (F.length("q") + letters - 3 * matching))
+    return met.unionAll(a.join(b, a.q == b.key).select("q", "key")).distinct()
+
+
+def closest(queries: DataFrame, keys: DataFrame, cutoff: float, k: int = 1, block: int = 2) -> DataFrame:
+    """(q, key, ratio, rank): the k closest keys of each query key, exact ones first.
+
+    Only keys of the same first `block` letters are compared; with 0 all are, through `ratio_pairs`.
+    """
+    if block:
+        a = queries.select(F.col("q")).distinct().withColumn("b", F.substring("q", 1, block))
+        b = keys.select(F.col("key")).distinct().withColumn("b", F.substring("key", 1, block))
+        pairs = a.join(b, "b").where(F.abs(F.length("q") - F.length("key")) <= (1 - cutoff) * (F.length("q") + F.length("key")))
+    else:
+        pairs = ratio_pairs(queries, keys, cutoff)
     scored = pairs.withColumn("ratio", F.when(F.col("q") == F.col("key"), 1.0).otherwise(ratio("key", "q"))).where(F.col("ratio") >= cutoff)
     w = Window.partitionBy("q").orderBy(F.desc("ratio"), F.desc("key"))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q", "key", "ratio", "rank")
@@ -185,10 +217,10 @@ def split_rows(rows: DataFrame, splits: DataFrame, key: str, column: str) -> Dat
 
 
 def twins(listed: DataFrame, main: DataFrame, cutoff: float = 0.88) -> DataFrame:
-    """(list_id, main_id): entries of the lists and their main entry, by equal key, else by the closest one (C9). Both: (id, name)."""
+    """(list_id, main_id): entries of the lists and their main entry, by equal key, else by the closest of all (C9). Both: (id, name)."""
     a = listed.select(F.col("id").alias("list_id"), text.name_key(F.col("name")).alias("q")).where("q <> ''")
     b = main.groupBy(text.name_key(F.col("name")).alias("key")).agg(F.min("id").alias("main_id")).where("key <> ''")
-    near = closest(a, b, cutoff).select("q", "key")
+    near = closest(a, b, cutoff, block=0).select("q", "key")
     return a.join(near, "q").join(b, "key").select("list_id", "main_id")
 
 

@@ -28,13 +28,14 @@ def find_on_pages(queries: DataFrame, rows: DataFrame, cutoff: float = 0.7) -> D
 
 
 def unheard_headings(contents: DataFrame, headings: DataFrame, cutoff: float = 0.6, width: int = 40) -> DataFrame:
-    """The contents lines that no heading is like (C31); both (title). Blocked by shared letter pairs, not all with all."""
+    """The contents lines that no heading is like (C31); both (title).
+
+    At this cutoff no shared letter pair is sure, so all of the lines, a book's contents, are compared but for lengths.
+    """
     key = lambda c: F.substring(text.slug(F.col(c)), 1, width)
     a, b = contents.select("title", key("title").alias("q")), headings.select(key("title").alias("key")).distinct()
-    grams = lambda df, c: df.select(c, F.explode(text.bigrams(F.col(c))).alias("g"))
-    shared = grams(a.select("q").distinct(), "q").join(grams(b, "key"), "g").groupBy("q", "key").agg(F.count("*").alias("n"))
-    pairs = shared.where(F.col("n") >= F.floor(0.4 * (F.length("q") - 1)))
-    heard = pairs.where(ratio("q", "key") >= cutoff).select("q").distinct()
+    pairs = a.select("q").distinct().join(b, 2 * F.least(F.length("q"), F.length("key")) >= cutoff * (F.length("q") + F.length("key")))
+    heard = pairs.where(ratio("key", "q") >= cutoff).select("q").distinct()
     return a.join(heard, "q", "left_anti").select("title")
 
 
@@ -64,11 +65,11 @@ def review_placements(places: DataFrame, hits: DataFrame, reviewed: DataFrame |
 
 
 def modern_names(seats: DataFrame, gazetteer: DataFrame, cutoff: float = 0.85) -> DataFrame:
-    """(seat, modern): the gazetteer's name of equal slug, else of equal loose key, else the closest of the same initial letters (C35). gazetteer: (old, modern)."""
+    """(seat, modern): the gazetteer's name of equal slug, else of equal loose key, else the closest of the same initial letter (C35). gazetteer: (old, modern)."""
     g = gazetteer.groupBy(text.slug(F.col("old")).alias("s")).agg(F.min("modern").alias("by_slug"))
     loose = gazetteer.groupBy(text.name_key(F.col("old")).alias("key")).agg(F.min("modern").alias("by_key"))
     own = seats.select("seat", text.slug(F.col("seat")).alias("s"), text.name_key(F.col("seat")).alias("q"))
-    near = match.closest(own, loose, cutoff).select("q", F.col("key").alias("near"))
+    near = match.closest(own, loose, cutoff, block=1).select("q", F.col("key").alias("near"))
     out = own.join(g, "s", "left").join(near, "q", "left").join(loose, F.col("near") == F.col("key"), "left")
     return out.select("seat", F.coalesce("by_slug", "by_key").alias("modern"))
 
