@@ -25,17 +25,18 @@ def number_pairs(entries: DataFrame, index: DataFrame) -> DataFrame:
     return exact.unionAll(confused.join(exact.select("no", "row_id"), ["no", "row_id"], "left_anti")).distinct()
 
 
-def loose_pairs(entries: DataFrame, index: DataFrame, most: float = 1.0) -> DataFrame:
+def loose_pairs(entries: DataFrame, index: DataFrame, most: float = 1.0, old_forms: DataFrame | None = None, cutoff: float = 0.82) -> DataFrame:
     """(no, row_id, "loose"): rows with a number that reads as the entry's at that cost, or with garbled numbers.
 
-    Garbled rows (numbers_ok false) are compared with all entries by name key, through the pairs of `name_pairs`.
+    Garbled rows (numbers_ok false) are compared with all entries by name, through `named_pairs` at `cutoff`.
     """
     numbers = index.select("row_id", F.explode("numbers").alias("n")).select("row_id", "n", F.explode(_blocks(F.col("n"))).alias("block"))
     own = entries.select("no", F.explode(_blocks(F.col("no"))).alias("block"))
     pairs = own.join(numbers, "block").select("no", "n").distinct()
     near = pairs.where(number_cost(F.col("n").cast("string"), F.col("no")) <= most)
     rows = near.join(numbers.select("row_id", "n").distinct(), "n").select("no", "row_id")
-    return rows.distinct().withColumn("kind", F.lit("loose"))
+    garbled = named_pairs(entries, index.where(~F.col("numbers_ok")), cutoff, old_forms)
+    return rows.unionAll(garbled).distinct().withColumn("kind", F.lit("loose"))
 
 
 def _blocks(n: Column) -> Column:
@@ -48,16 +49,29 @@ def _blocks(n: Column) -> Column:
     return F.array_distinct(F.concat(F.array(s), F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.lit("_"), F.substr(s, i + 1))), F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substr(s, i + 1)))))
 
 
-def name_pairs(entries: DataFrame, index: DataFrame, least: float = 0.6) -> DataFrame:
-    """(no, row_id, "name"): rows whose key shares at least `least` of the entry key's letter pairs (C6), for keys of 5 letters or more.
+def named_pairs(entries: DataFrame, index: DataFrame, cutoff: float, old_forms: DataFrame | None = None) -> DataFrame:
+    """(no, row_id): all pairs whose `similarity`, raised by `bridge` if there are old forms, can reach `cutoff`, and some others."""
+    a = entries.select("no", text.name_key(F.col("name")).alias("q"))
+    keys = F.array_distinct(F.array(text.name_key(F.col("name")), text.name_key(text.base_name(F.col("name")))))
+    b = index.select("row_id", F.explode(keys).alias("key"))
+    out = a.join(ratio_pairs(a, b, cutoff), "q").join(b, "key").select("no", "row_id")
+    if old_forms is not None:
+        forms = _forms(old_forms)
+        led = a.join(forms, a.q == forms.ok).select("no", "mk")
+        near = ratio_pairs(forms.select(F.col("mk").alias("q")), b, 0.85)
+        out = out.unionAll(led.join(near, led.mk == near.q).join(b, "key").select("no", "row_id"))
+    return out.distinct()
 
-    A ratio of 0.9 leaves most pairs of letters standing, so the sieve loses none that can pass.
-    """
-    a = entries.select("no", text.name_key(F.col("name")).alias("k")).where(F.length("k") >= 5)
-    grams = a.select("no", F.size(text.bigrams(F.col("k"))).alias("size"), F.explode(text.bigrams(F.col("k"))).alias("g"))
-    b = index.select("row_id", F.explode(text.bigrams(text.name_key(F.col("name")))).alias("g"))
-    shared = grams.join(b, "g").groupBy("no", "row_id", "size").agg(F.count("*").alias("n"))
-    return shared.where(F.col("n") >= F.floor(least * F.col("size"))).select("no", "row_id", F.lit("name").alias("kind"))
+
+def name_pairs(entries: DataFrame, index: DataFrame, cutoff: float = 0.9, old_forms: DataFrame | None = None) -> DataFrame:
+    """(no, row_id, "name"): rows whose name can reach a similarity of `cutoff` (C6), for entry keys of 5 letters or more."""
+    long = entries.where(F.length(text.name_key(F.col("name"))) >= 5)
+    return named_pairs(long, index, cutoff, old_forms).withColumn("kind", F.lit("name"))
+
+
+def _forms(old_forms: DataFrame) -> DataFrame:
+    """(ok, mk): the keys of old forms and of the modern names they lead to."""
+    return old_forms.select(text.name_key(F.col("old")).alias("ok"), text.name_key(F.regexp_replace("modern", r"\(.*?\)", "")).alias("mk")).distinct()
 
 
 def similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -70,7 +84,7 @@ def similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 def bridge(pairs: DataFrame, old_forms: DataFrame, entry_name: str, row_name: str) -> DataFrame:
     """`sim` raised to 0.95 where a table of old forms leads from the entry's key to one like the row's."""
-    forms = old_forms.select(text.name_key(F.col("old")).alias("ok"), text.name_key(F.regexp_replace("modern", r"\(.*?\)", "")).alias("mk")).distinct()
+    forms = _forms(old_forms)
     own = pairs.withColumn("pid", F.xxhash64(entry_name, row_name))
     hit = own.select(entry_name, row_name, "pid").distinct().join(forms, text.name_key(F.col(entry_name)) == F.col("ok")).where(ratio("mk", text.name_key(F.col(row_name))) > 0.85).select("pid").distinct().withColumn("hit", F.lit(True))
     return own.join(hit, "pid", "left").withColumn("sim", F.when(F.col("hit"), F.greatest("sim", F.lit(0.95))).otherwise(F.col("sim"))).drop("pid", "hit")
@@ -81,7 +95,7 @@ def match_ladder(entries: DataFrame, index: DataFrame, old_forms: DataFrame | No
 
     index: (row_id, name, numbers, numbers_ok). Ties go to the smaller row_id.
     """
-    pairs = number_pairs(entries, index).unionAll(loose_pairs(entries, index)).unionAll(name_pairs(entries, index))
+    pairs = number_pairs(entries, index).unionAll(loose_pairs(entries, index, old_forms=old_forms)).unionAll(name_pairs(entries, index, old_forms=old_forms))
     named = pairs.join(entries.select("no", F.col("name").alias("entry_name")), "no").join(index.select("row_id", F.col("name").alias("row_name")), "row_id")
     named = similarity(named, "entry_name", "row_name")
     if old_forms is not None:

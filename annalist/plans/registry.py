@@ -505,11 +505,11 @@ def confused_number_join(spark, d):
 
 
 def _names(spark, d):
-    """Numbered names and an index of damaged copies of them."""
+    """Numbered names and an index of damaged copies of them, one row in seven with garbled numbers."""
     p = table(spark, d, "part").select(F.col("p_partkey").cast("bigint").alias("no"), F.concat_ws(" ", "p_name", F.translate(F.col("p_partkey").cast("string"), "0123456789", "abdfghikmn")).alias("name"))
     damaged = F.when(F.col("no") % 3 == 0, F.regexp_replace("name", "a", "o")).otherwise(F.translate("name", "el", "ct"))
     shown = F.when(F.col("no") % 5 == 0, F.col("no") + 1).otherwise(F.col("no"))
-    index = p.select(F.col("no").alias("row_id"), damaged.alias("name"), F.array(shown).alias("numbers"), F.lit(True).alias("numbers_ok"))
+    index = p.select(F.col("no").alias("row_id"), damaged.alias("name"), F.array(shown).alias("numbers"), (F.col("no") % 7 != 0).alias("numbers_ok"))
     return p, index
 
 

@@ -188,3 +188,14 @@ def test_unheard_headings_against_all(spark):
     want = sorted(x for x in a if not difflib.get_close_matches(x, b, n=1, cutoff=0.6))
     df = lambda names: spark.createDataFrame([(x,) for x in names], "title string")
     assert sorted(r.title for r in review.unheard_headings(df(a), df(b)).collect()) == want
+
+
+def test_garbled_numbers_match_by_name(spark):
+    """Rows of numbers_ok false are loose matches from 0.82 on, short keys and old forms included."""
+    names = {1: "Dun", 2: "Blainvilla", 3: "Charmanges", 4: "Marchainville", 5: "Vaudemont"}
+    entries = spark.createDataFrame(list(names.items()), "no long, name string")
+    shown = [(11, "Dun", [900], False), (12, "Blainville la Grande", [900], False), (13, "Charmonjes", [], False), (14, "Xyz", [901], False), (15, "Vaudamont", [902], True)]
+    index = spark.createDataFrame(shown, "row_id long, name string, numbers array<long>, numbers_ok boolean")
+    forms = spark.createDataFrame([("Marchainville", "Xyz (vieux)")], "old string, modern string")
+    got = {r.no: (r.row_id, r.how, r.confidence) for r in match.match_ladder(entries, index, forms).collect()}
+    assert got == {1: (11, "loose number", "medium"), 2: (12, "loose number", "medium"), 3: (None, "none", "low"), 4: (14, "loose number", "medium"), 5: (None, "none", "low")}
