@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annalist.llm.common import Scratch, components, fresh, table
@@ -52,8 +52,9 @@ def fingerprint_of(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp bigint) of every row; the fingerprint's bits as a signed number."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str | None = None) -> DataFrame:
+    """(doc_id, fp bigint) of every row, and its `key`, a bigint column, if given; the fingerprint's bits as a signed number."""
+    more = [key] if key else []
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -61,9 +62,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
         for batch in batches:
             fps = np.array([fingerprint_of(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *more])
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
+    schema = "doc_id bigint, fp bigint" + "".join(f", `{c}` bigint" for c in more)
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *more).mapInArrow(run, schema)
 
 
 def _variants(masks, fps):
@@ -212,8 +214,8 @@ def fingerprint_links(spark: SparkSession, fps: DataFrame, scratch: Scratch) ->
     return out.distinct()
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, fp (bigint), component_id.
+def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str | None = None) -> DataFrame:
+    """One row per row of `docs`: doc_id, fp (bigint), component_id, and its `key`, a bigint column, if given.
 
     component_id is the smallest doc_id that links reach, itself included. Texts without words (null, blank) have
     fingerprint 0 and are linked like others. Exact copies share a fingerprint and count once in the search. Rows
@@ -222,7 +224,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     Other columns are ignored; an empty table gives no rows.
     """
     scratch = Scratch(spark)
-    own = scratch.save(fingerprints(docs, doc_id, text), "fingerprints")
+    own = scratch.save(fingerprints(docs, doc_id, text, key), "fingerprints")
     first = scratch.save(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     links = fingerprint_links(spark, first.select("fp"), scratch)
     roots = components(spark, links, scratch)
@@ -230,21 +232,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     named = scratch.save(named, "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
     by_fp = named.join(least, named.root == least.r).select(F.col("fp").alias("f"), "component_id")
-    return own.join(by_fp, own.fp == by_fp.f).select("doc_id", "fp", "component_id")
+    return own.join(by_fp, own.fp == by_fp.f).select("doc_id", "fp", "component_id", *([key] if key else []))
 
 
 def keep_first(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents that name their component, one of each group. Of rows that repeat a doc_id one stays.
 
-    Rows of a null doc_id have no name to choose by and stay.
+    Where a doc_id repeats with different texts, the row stays whose own text's component it names; of several the one
+    of the smallest text hash, of rows with one text the first by their JSON. Rows of a null doc_id have no name to
+    choose by and stay.
     """
-    (keep,) = fresh(docs, "keep_id")
-    found = near_duplicates(spark, docs.where("doc_id IS NOT NULL"))
-    heads = found.where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
-    out = docs.join(heads.hint("merge"), docs.doc_id == heads[keep], "left_semi")
-    ids = docs.where("doc_id IS NOT NULL").agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
-    if ids["n"] != ids["d"]:
-        out = out.dropDuplicates(["doc_id"])
+    keep, keep_key, key, rank = fresh(docs, "keep_id", "keep_key", "text_key", "keep_rank")
+    named = docs.where("doc_id IS NOT NULL")
+    ids = named.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
+    if ids["n"] == ids["d"]:
+        heads = near_duplicates(spark, named).where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
+        out = docs.join(heads.hint("merge"), docs.doc_id == heads[keep], "left_semi")
+    else:
+        named = named.withColumn(key, F.xxhash64("text"))
+        heads = near_duplicates(spark, named, key=key).where("doc_id = component_id")
+        heads = heads.groupBy(F.col("doc_id").alias(keep)).agg(F.min(key).alias(keep_key))
+        out = named.join(heads.hint("merge"), (named.doc_id == heads[keep]) & (named[key] == heads[keep_key]), "left_semi").drop(key)
+        first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+        out = out.withColumn(rank, first).where(F.col(rank) == 1).drop(rank)
     return out.unionByName(docs.where("doc_id IS NULL"))
 
 

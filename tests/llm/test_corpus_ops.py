@@ -114,6 +114,16 @@ def test_simhash_documents(spark, edge_docs, no_docs):
     assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([1, 2, 5, 6, 7, None], key=str)
 
 
+def test_keep_first_of_repeated_ids(spark):
+    """Of a doc_id's rows the one stays whose own text names its group, wherever the rows stand."""
+    a, b = "a text that many copy word for word in this small table", "the only one of its kind, with nothing else like it here"
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (6, a, "y"), (6, b, "y"), (7, "one more text of its own, seven times seven words", "z"), (7, "one more text of its own, seven times seven words", "y")]
+    want = [(3, a, "x"), (5, b, "x"), (7, "one more text of its own, seven times seven words", "y")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, source string")
+        assert sorted(tuple(r) for r in simhash.keep_first(spark, df).collect()) == want
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_simhash_links_equal_brute_force(spark, seed):
     rng = random.Random(seed)
