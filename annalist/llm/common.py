@@ -42,6 +42,39 @@ def words_of(c: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WS_RUN))
 
 
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+#: Elements that `running` folds at once: it copies a block's list for each of them, never the whole list.
+RUN_BLOCK = 256
+
+
+def running(values: Column, combine, start) -> Column:
+    """The running results of an associative `combine` over an array of bigint, first to last; `start` changes nothing.
+
+    Blocks of RUN_BLOCK elements are folded by themselves, then their last values, so a list of n costs n * RUN_BLOCK
+    / 2 + (n / RUN_BLOCK)^2 / 2 copies of a reference and not n^2 / 2.
+    """
+    zero = F.array(F.lit(start).cast("bigint"))
+
+    def fold(part: Column) -> Column:
+        grown = F.aggregate(part, zero, lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), x))))
+        return F.slice(grown, 2, F.size(part))
+
+    def blocks_of(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / RUN_BLOCK), F.lit(0)).cast("int"))
+        return F.transform(starts, lambda k: fold(F.slice(v, k * RUN_BLOCK + 1, F.lit(RUN_BLOCK))))
+
+    def joined(blocks: Column) -> Column:
+        tops = F.transform(blocks, lambda b: F.element_at(b, -1))
+        before = F.aggregate(tops, zero, lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), x))))
+        return let(before, lambda p: F.flatten(F.transform(blocks, lambda b, k: F.transform(b, lambda x: combine(F.get(p, k), x)))))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, F.array().cast("array<bigint>")).when(F.size(v) <= RUN_BLOCK, fold(v)).otherwise(let(blocks_of(v), joined)))
+
+
 def match_spans(text: Column, kind: str, pattern: str, keep=None) -> Column:
     """All leftmost non-overlapping matches as array<struct<kind, start, end, match>>, code points, end exclusive.
 
@@ -50,26 +83,16 @@ def match_spans(text: Column, kind: str, pattern: str, keep=None) -> Column:
     """
     span = "array<struct<kind:string,start:bigint,end:bigint,match:string>>"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.zip_with(
-        found,
-        F.split(text, pattern, -1),
-        lambda m, p: F.struct(m.alias("match"), F.length(p).cast("bigint").alias("gap"), F.length(m).cast("bigint").alias("len")),
-    )
-    walked = F.aggregate(
-        F.filter(sizes, lambda x: x["match"].isNotNull()),
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(span).alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["len"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(F.struct(F.lit(kind).alias("kind"), (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["len"]).alias("end"), x["match"].alias("match"))),
-            ).cast(span).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+
+    def placed(ms: Column) -> Column:
+        steps = F.zip_with(ms, F.slice(F.split(text, pattern, -1), F.lit(1), F.size(ms)), lambda m, p: (F.length(p) + F.length(m)).cast("bigint"))
+        ends = running(steps, lambda a, b: a + b, 0)
+        return F.zip_with(ms, ends, lambda m, e: F.struct(F.lit(kind).alias("kind"), (e - F.length(m)).alias("start"), e.alias("end"), m.alias("match"))).cast(span)
+
+    out = let(found, placed)
     if keep is not None:
-        walked = F.filter(walked, lambda s: keep(s["match"]))
-    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(span))
+        out = F.filter(out, lambda s: keep(s["match"]))
+    return F.when(text.rlike(pattern), out).otherwise(F.array().cast(span))
 
 
 def spans_text(spans: Column) -> Column:
@@ -77,6 +100,16 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def plain_columns(df: DataFrame):
+    """`df` with its columns named c0, c1 ..., and a function that gives the names back to the first columns of a result.
+
+    An Arrow stage takes a name with a dot for a field of another column.
+    """
+    names = df.columns
+    plain = df.toDF(*[f"c{k}" for k in range(len(names))])
+    return plain, lambda out: out.toDF(*names, *out.columns[len(names) :])
+
+
 class Scratch:
     """Tables written in the shared folder that the session names in `spark.checkpoint.dir`.
 

@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm.common import match_spans, spans_text, table
+from annalist.llm.common import let, match_spans, running, spans_text, table
 
 #: The base patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -34,36 +34,57 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
     r"|(?i)example|placeholder|changeme|dummy|your[-_]"
     r"|0123456789|abcdefghijkl|d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709"
-    r"|^[A-Za-z0-9_-]*(/[a-z0-9_-]{1,15}){2,}/?$"
 )
+#: A plain path: what it looks like from its first slash on, how many slashes it needs, and what it never holds.
+PATH, NO_PATH = r"^[A-Za-z0-9_-]*+/[a-z0-9_-]++/[a-z0-9_/-]++$", r"//|/[a-z0-9_-]{16}"
 
 
 def max_window_entropy(s: Column, alphabet: str, window: int = WINDOW) -> Column:
-    """The largest Shannon entropy (bits) of any `window` characters of `s`.
+    """The largest Shannon entropy (bits) of any `window` characters of `s`, all of the alphabet.
 
     The counts of the window's characters change by one in and one out per step, and with them the sum of
-    c*log2(c), of which the entropy is log2(window) - sum / window. A string shorter than the window has 0.
+    c*log2(c), of which the entropy is log2(window) - sum / window. The counts are kept as a string with one sign for
+    each character of the alphabet ("@" for 0, "A" for 1 ...), of which a step overlays one or two, and the text is
+    taken apart once, so a step costs the same wherever it stands. A string shorter than the window has 0.
     """
     f = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
-    at = lambda i: F.instr(F.lit(alphabet), F.substring(s, i, F.lit(1))) - 1
-
-    def step(acc: Column, i: Column) -> Column:
-        enters, leaves = at(i), F.when(i > window, at(i - window)).otherwise(-1)
-        c_in, c_out = F.get(acc["counts"], enters), F.get(acc["counts"], F.greatest(leaves, F.lit(0)))
-        moved = enters != leaves
-        total = F.when(
-            moved,
-            acc["total"] + F.get(f, c_in + 1) - F.get(f, c_in) + F.when(leaves >= 0, F.get(f, c_out - 1) - F.get(f, c_out)).otherwise(0.0),
-        ).otherwise(acc["total"])
-        counts = F.when(moved, F.transform(acc["counts"], lambda c, k: c + F.when(k == enters, 1).when(k == leaves, -1).otherwise(0))).otherwise(acc["counts"])
-        low = F.when(i >= window, F.least(acc["low"], total)).otherwise(acc["low"])
-        return F.struct(counts.alias("counts"), total.alias("total"), low.alias("low"))
-
-    start = F.struct(
-        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("total"), F.lit(window * math.log2(window)).alias("low")
-    )
-    walk = F.aggregate(F.sequence(F.lit(1), F.length(s)), start, step, lambda acc: F.lit(math.log2(window)) - acc["low"] / window)
-    return F.when(F.length(s) < window, F.lit(0.0)).otherwise(walk)
+    count = lambda counts, place: F.ascii(F.substring(counts, place, F.lit(1))) - 64
+    put = lambda counts, place, c: F.overlay(counts, F.char(c + 64), place, 1)
+
+    def enter(acc: Column, place: Column) -> Column:
+        c = count(acc["counts"], place)
+        return F.struct(put(acc["counts"], place, c + 1).alias("counts"), (acc["total"] + F.get(f, c + 1) - F.get(f, c)).alias("total"), acc["low"].alias("low"))
+
+    def leave(acc: Column, place: Column) -> Column:
+        c = count(acc["counts"], place)
+        return F.struct(put(acc["counts"], place, c - 1).alias("counts"), (acc["total"] + F.get(f, c - 1) - F.get(f, c)).alias("total"), acc["low"].alias("low"))
+
+    def noted(acc: Column) -> Column:
+        return F.struct(acc["counts"].alias("counts"), acc["total"].alias("total"), F.least(acc["low"], acc["total"]).alias("low"))
+
+    def walk(places: Column) -> Column:
+        start = F.struct(F.lit("@" * len(alphabet)).alias("counts"), F.lit(0.0).alias("total"), F.lit(window * math.log2(window)).alias("low"))
+        first = F.aggregate(F.slice(places, 1, window), start, enter, noted)
+        pairs = F.zip_with(F.slice(places, F.lit(1), F.size(places) - window), F.slice(places, F.lit(window + 1), F.size(places)), lambda a, b: F.struct(a.alias("out"), b.alias("in")))
+        moved = lambda acc, x: F.when(x["out"] == x["in"], acc).otherwise(let(enter(acc, x["in"]), lambda a: let(leave(a, x["out"]), noted)))
+        return F.aggregate(pairs, first, moved, lambda acc: F.lit(math.log2(window)) - acc["low"] / window)
+
+    return F.when(F.length(s) < window, F.lit(0.0)).otherwise(let(F.transform(F.split(s, ""), lambda c: F.instr(F.lit(alphabet), c)), walk))
+
+
+def free_of(found: Column, base: Column) -> Column:
+    """The spans of `found` that overlap no span of `base`, by one pass over both, sorted by start, in each direction."""
+    row = lambda s, own: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(own).alias("own"), s.alias("span"))
+
+    def kept(rows: Column) -> Column:
+        before = running(F.transform(rows, lambda x: F.when(x["own"] == 0, x["end"]).otherwise(F.lit(-1).cast("bigint"))), lambda a, b: F.greatest(a, b), -1)
+        far = 1 << 62
+        after = F.reverse(running(F.reverse(F.transform(rows, lambda x: F.when(x["own"] == 0, x["start"]).otherwise(F.lit(far).cast("bigint")))), lambda a, b: F.least(a, b), far))
+        judged = F.zip_with(F.zip_with(rows, before, lambda x, e: F.struct(x.alias("x"), e.alias("before"))), after, lambda y, s: F.when((y["x"]["own"] == 1) & (y["before"] <= y["x"]["start"]) & (s >= y["x"]["end"]), y["x"]["span"]))
+        return F.array_compact(judged)
+
+    merged = F.sort_array(F.concat(F.transform(base, lambda s: row(s, 0)), F.transform(found, lambda s: row(s, 1))))
+    return F.when((F.size(found) == 0) | (F.size(base) == 0), found).otherwise(let(merged, kept))
 
 
 def secret_spans(df: DataFrame, text: str = "text", base: str = "base_spans", spans: str = "secret_spans") -> DataFrame:
@@ -81,7 +102,8 @@ def secret_spans(df: DataFrame, text: str = "text", base: str = "base_spans", sp
         F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(F.array(*map(F.lit, ("assign", "access", "hex", "entropy"))), s["kind"]).alias("rank"), s.alias("span")))),
         lambda x: x["span"],
     )
-    rough = F.filter(match_spans(t, "entropy", CANDIDATE), lambda s: ~s["match"].rlike(ALLOWED))
+    is_path = lambda m: m.rlike(PATH) & ~m.rlike(NO_PATH)
+    rough = F.filter(match_spans(t, "entropy", CANDIDATE), lambda s: ~s["match"].rlike(ALLOWED) & ~is_path(s["match"]))
 
     def random(s: Column) -> Column:
         m = s["match"]
@@ -93,7 +115,7 @@ def secret_spans(df: DataFrame, text: str = "text", base: str = "base_spans", sp
         )
 
     out = df.withColumn(base, order(ranked))
-    found = F.filter(rough, lambda s: ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & random(s))
+    found = F.filter(free_of(rough, F.col(base)), random)
     return out.withColumn(spans, order(F.concat(F.col(base), found)))
 
 

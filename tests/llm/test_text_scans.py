@@ -107,6 +107,60 @@ def test_window_entropy(spark):
         assert r.h == pytest.approx(entropy_of(r.w, None) if len(r.w) >= 20 else 0.0, abs=1e-9)
 
 
+def plain_secrets(t):
+    """All spans of a text by the patterns and a window that is counted anew at each place."""
+    base = base_spans(t)
+    out = [(a, ("assign", "access", "hex").index(k), k, e) for k, a, e in base]
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", t):
+        s = m[0]
+        if not re.search("[0-9]", s) or not re.search("[A-Za-z]", s) or re.search(secrets.ALLOWED.replace("|(?i)", "|"), s, re.I if "example" in s.lower() else 0):
+            continue
+        if re.search(r"^[A-Za-z0-9_-]*(/[a-z0-9_-]{1,15}){2,}/?$", s) or any(a < m.end() and m.start() < e for _, a, e in base):
+            continue
+        low = s.lower() if re.fullmatch("[0-9A-Fa-f]+", s) else s
+        least = 3.0 if re.fullmatch("[0-9A-Fa-f]+", s) else 3.7 if re.fullmatch("[0-9A-Za-z]+", s) else 3.9
+        if entropy_of(low, None) >= least - 1e-9:
+            out.append((m.start(), 3, "entropy", m.end()))
+    return ",".join(f"{k}:{a}:{e}" for a, _, k, e in sorted(out))
+
+
+def test_secret_query_equals_plain_version(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    alphabets = ["0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/_=-", "ab1", "a/b1-"]
+    rows = [(k, t) for k, t in enumerate([None, "", *SECRETS])]
+    for k in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 9)):
+            parts.append(rng.choice(["word", "é", "token: q8Zr2LxV7nB4mK9sTw3YpD6f", "/usr/local/share/abc1/x", "".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randint(15, 70)))]))
+        rows.append((100 + k, rng.choice([" ", "", "."]).join(parts)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in secrets.query(spark, str(tmp_path)).collect()}
+    kinds = set()
+    for i, t in rows:
+        assert got[i].spans == plain_secrets(t or ""), t
+        kinds |= {x.split(":")[0] for x in got[i].spans.split(",")}
+        base = base_spans(t or "")
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(k == x for k, *_ in base) for x in ("assign", "access", "hex"))
+        assert got[i].base_sha256 == sha(",".join(f"{k}:{a}:{e}" for k, a, e in base))
+    assert kinds >= {"entropy", "assign"}
+
+
+def test_secrets_of_long_texts_cost_in_proportion(spark):
+    import random
+    import time
+
+    rng = random.Random(5)
+    one = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/") for _ in range(1_000_000))
+    many = " ".join(f"token={k:06d} {k:06d}q8Zr2LxV7nB4mK9sTw3" for k in range(100_000))
+    df = spark.createDataFrame([(1, one), (2, many)], "doc_id long, text string").repartition(2, "doc_id")
+    began = time.time()
+    got = {r.doc_id: (r.base, r.n) for r in secrets.secret_spans(df).selectExpr("doc_id", "size(base_spans) AS base", "size(secret_spans) AS n").collect()}
+    assert got == {1: (0, 1), 2: (100_000, 200_000)}
+    assert time.time() - began < 90
+
+
 # --- 4 ---------------------------------------------------------------------------------------
 
 
