@@ -3,8 +3,10 @@
 A text is the concatenation of its pattern matches, each encoded by itself. A long match is encoded by halves: the
 two token lists are joined by encoding a window around the seam anew, and the window grows on each side until the
 token just outside it and the first one inside stay two tokens when encoded together. A list whose neighbours all
-have this property is the encoding of its bytes, so all tokens outside the window are settled. Encodings of short
-matches are kept in a bounded memory; the vocabulary's path is a parameter.
+have this property is the encoding of its bytes, so all tokens outside the window are settled. A run of one sign or of
+a short pattern never settles, as its tokens stand by its start: a window that has to cover both sides of a long seam
+tells so, and such a match is merged whole, by a queue of its pairs. Encodings of short matches are kept in a bounded
+memory; the vocabulary's path is a parameter.
 """
 
 from __future__ import annotations
@@ -12,18 +14,21 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm.common import table
+from annalist.llm.common import plain_columns, table
 
 #: Byte strings up to this length are merged directly; longer ones are halved.
 LEAF = 32
 #: Tokens of either side in the first window.
 FIRST_WINDOW = 2
+#: A seam whose window covers both sides whole, so many bytes or more, doesn't settle.
+HOPELESS = 1024
 #: Matches up to REMEMBER bytes are kept, CACHE of them in a worker at most.
-REMEMBER, CACHE = 48, 300_000
+REMEMBER, CACHE = 48, 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -31,6 +36,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Unsettled(Exception):
+    """A seam at which no window short of the whole settles."""
+
+
 class TreeBPE:
     """The encoding of byte strings under a table of ranks."""
 
@@ -54,11 +63,38 @@ class TreeBPE:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def merge_queued(self, b: bytes) -> list[bytes]:
+        """Direct encoding like `merge`, with the pairs in a queue by rank and place: for strings of any length."""
+        n, rank = len(b), self.ranks.get
+        end = list(range(1, n + 1))  # of the part that begins at a place
+        begin = list(range(n))  # of the part that ends before the next place
+        alive = [True] * n
+        queue = [(r, i) for i in range(n - 1) if (r := rank(b[i : i + 2])) is not None]
+        heapify(queue)
+
+        def offer(i: int, j: int) -> None:
+            r = rank(b[i:j])
+            if r is not None:
+                heappush(queue, (r, i))
+
+        while queue:
+            r, i = heappop(queue)
+            mid = end[i]
+            if not alive[i] or mid >= n or rank(b[i : end[mid]]) != r:
+                continue  # one of the two parts has changed since
+            stop = end[mid]
+            alive[mid], end[i], begin[stop - 1] = False, stop, i
+            if i:
+                offer(begin[i - 1], stop)
+            if stop < n:
+                offer(i, end[stop])
+        return [b[i : end[i]] for i in range(n) if alive[i]]
+
     def settled(self, a: bytes, b: bytes) -> bool:
         """Whether two tokens side by side stay two tokens."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 200_000:
+            if len(self.pairs) > 50_000:
                 self.pairs.clear()
             known = self.pairs[a, b] = self.merge(a + b) == [a, b]
         return known
@@ -71,7 +107,10 @@ class TreeBPE:
             return left + right
         i, j = min(FIRST_WINDOW, len(left)), min(FIRST_WINDOW, len(right))
         while True:
-            mid = self.merge(b"".join(left[len(left) - i :] + right[:j]))
+            window = b"".join(left[len(left) - i :] + right[:j])
+            if i == len(left) and j == len(right) and len(window) >= HOPELESS:
+                raise Unsettled
+            mid = self.merge(window) if len(window) <= 2 * self.leaf else self.merge_queued(window)
             grow_left = i < len(left) and not self.settled(left[-i - 1], mid[0])
             grow_right = j < len(right) and not self.settled(mid[-1], right[j])
             if not grow_left and not grow_right:
@@ -87,7 +126,13 @@ class TreeBPE:
     def encode(self, b: bytes) -> list[int]:
         """The ids of one match; a match that is itself in the vocabulary is one token."""
         known = self.ranks.get(b)
-        return [known] if known is not None else [self.ranks[t] for t in self.tokens(b)]
+        if known is not None:
+            return [known]
+        try:
+            tokens = self.tokens(b)
+        except Unsettled:
+            tokens = self.merge_queued(b)
+        return [self.ranks[t] for t in tokens]
 
     def decode(self, ids: list[int]) -> bytes:
         """Halves are decoded and concatenated; the leaves are the tokens' bytes."""
@@ -147,8 +192,9 @@ def encode_documents(docs: DataFrame, text: str = "text", vocabulary: tuple[str,
     path, pattern = vocabulary or default_vocabulary()
     added = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     keep = [c for c in docs.columns if c not in added]
-    own = docs.select(*[F.col(f"`{c}`") for c in keep])
-    schema = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in keep) + ", n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    own, named = plain_columns(docs.select(*[F.col(f"`{c}`") for c in keep]))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema) + ", n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    texts, columns = f"c{keep.index(text)}", list(own.columns)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -156,7 +202,7 @@ def encode_documents(docs: DataFrame, text: str = "text", vocabulary: tuple[str,
         codec = TextCodec(path, pattern)
         for batch in batches:
             n, hashes, decoded, all_ids = [], [], [], []
-            for t in batch.column(text):
+            for t in batch.column(texts):
                 count, ids, back = codec.digest(t.as_py() or "")
                 n.append(count)
                 hashes.append(hashlib.sha256(ids.encode()).hexdigest())
@@ -164,9 +210,9 @@ def encode_documents(docs: DataFrame, text: str = "text", vocabulary: tuple[str,
                 if with_ids:
                     all_ids.append([int(x) for x in ids.split()])
             more = [pa.array(n, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())] + [pa.array(all_ids, pa.list_(pa.int32()))] * with_ids
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*keep, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*columns, *added])
 
-    return own.mapInArrow(run, schema)
+    return named(own.mapInArrow(run, schema))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annalist.llm.common import fresh, table
+from annalist.llm.common import fresh, plain_columns, table
 
 #: N-gram lengths, length of a language's profile, and of a document's.
 SIZES = (1, 2, 3)
@@ -209,20 +209,20 @@ def predict(docs: DataFrame, profiles: dict[str, dict[str, int]], text: str = "t
     replaced, the others pass through.
     """
     keep = [c for c in docs.columns if c not in names]
-    own = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(text)]))
-    schema = f"{', '.join(f'`{c}` {own.schema[c].dataType.simpleString()}' for c in own.columns)}, {names[0]} string, {names[1]} double, {names[2]} double"
-    columns = list(own.columns)
+    own, named = plain_columns(docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(text)])))
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in own.schema)}, {names[0]} string, {names[1]} double, {names[2]} double"
+    columns, texts = list(own.columns), f"c{keep.index(text) if text in keep else len(keep)}"
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         judge = Judge(profiles)
         for batch in batches:
-            got = [judge(t.as_py()) for t in batch.column(text)]
+            got = [judge(t.as_py()) for t in batch.column(texts)]
             more = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*columns, *names])
 
-    return own.mapInArrow(run, schema)
+    return named(own.mapInArrow(run, schema))
 
 
 def held_out(doc_id):
