@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from annalist.llm.common import table
 
@@ -19,10 +20,38 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: One strict term rejects a URL; of soft terms it takes SOFT_LIMIT different ones. Weights go into the score.
-STRICT = {"casino": 3.0, "porn": 3.0, "xxx": 3.0, "viagra": 3.0, "escort": 2.0, "warez": 2.0, "torrent": 2.0}
-SOFT = {"ads": 1.0, "bet": 1.0, "bets": 1.0, "click": 0.5, "free": 0.5, "gamble": 1.0, "loan": 1.0, "poker": 1.0, "promo": 0.5, "sex": 1.0, "track": 0.5, "win": 0.5}
-SOFT_LIMIT = 2
+#: One strict term rejects a URL. Of soft terms it takes SOFT_LIMIT different ones whose weights add up to SOFT_WEIGHT.
+STRICT = (
+    "bestiality bukkake camgirl camsex casino casinos creampie cumshot escort escorts gangbang hentai keygen lolita milf nudes orgy "
+    "porn porno pornhub prostitute torrent viagra cialis warez xxx xvideos"
+).split()
+SOFT = {
+    "adult": 0.75, "ads": 1.0, "affiliate": 0.75, "bet": 1.0, "bets": 1.0, "bonus": 0.5, "cheap": 0.5, "click": 0.5, "coupon": 0.5, "crack": 1.0, "cracked": 1.0,
+    "dating": 0.75, "deal": 0.5, "diet": 0.5, "erotic": 1.0, "fetish": 1.0, "hardcore": 0.75, "free": 0.5, "gamble": 1.0, "gambling": 1.0, "hacks": 0.75, "hot": 0.5, "jackpot": 1.0,
+    "lesbian": 0.75, "loan": 1.0, "loans": 1.0, "lottery": 1.0, "naked": 1.0, "nude": 1.0, "payday": 1.0, "pharmacy": 0.75, "pills": 1.0, "poker": 1.0, "promo": 0.5,
+    "replica": 0.75, "slots": 0.75, "sex": 1.0, "sexy": 1.0, "singles": 0.75, "teen": 0.5, "track": 0.5, "webcam": 0.75, "win": 0.5, "xrated": 1.0,
+}
+SOFT_LIMIT, SOFT_WEIGHT = 2, 1.5
+#: Rows that a vocabulary table may have.
+MAX_TERMS = 1_000_000
+
+
+def vocabulary_of(terms: DataFrame, limit: int = MAX_TERMS) -> tuple[list[str], dict[str, float]]:
+    """Strict terms and soft terms with weights from a table (term, kind, weight), `limit` rows at most, else an error.
+
+    kind is strict or soft; terms are lower-cased; null or empty terms are left out; a null weight is 1; the largest of several counts.
+    """
+    rows = terms.where("term IS NOT NULL AND term <> '' AND kind IN ('strict', 'soft')").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a vocabulary of over {limit} terms")
+    strict, soft = set(), {}
+    for r in rows:
+        w = 1.0 if r["weight"] is None else float(r["weight"])
+        if r["kind"] == "strict":
+            strict.add(r["term"].lower())
+        else:
+            soft[r["term"].lower()] = max(w, soft.get(r["term"].lower(), 0.0))
+    return sorted(strict), soft
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -61,37 +90,43 @@ class RuleSet:
 class Vocabulary:
     """Counts terms between boundaries (no ASCII letter or digit beside them) in lower-cased URLs."""
 
-    def __init__(self, strict: dict[str, float] = STRICT, soft: dict[str, float] = SOFT, soft_limit: int = SOFT_LIMIT):
+    def __init__(self, strict: Sequence[str] = STRICT, soft: dict[str, float] = SOFT, soft_limit: int = SOFT_LIMIT, soft_weight: float = SOFT_WEIGHT):
         import ahocorasick
 
-        self.limit, self.auto = soft_limit, ahocorasick.Automaton()
-        for term, w in soft.items():
-            self.auto.add_word(term, (term, False, w))
-        for term, w in strict.items():
-            self.auto.add_word(term, (term, True, w))
-        self.auto.make_automaton()
+        self.limit, self.least, self.soft, self.auto = soft_limit, soft_weight, soft, ahocorasick.Automaton()
+        for term in soft:
+            self.auto.add_word(term, (term, False))
+        for term in strict:
+            self.auto.add_word(term, (term, True))
+        if len(self.auto):
+            self.auto.make_automaton()
 
-    def hits(self, url: str | None) -> tuple[set[str], set[str], float]:
-        """The different strict and soft terms of a URL, and the weight of all hits."""
+    def hits(self, url: str | None) -> tuple[set[str], set[str]]:
+        """The different strict and soft terms of a URL."""
         s = (url or "").lower()
-        strict, soft, weight = set(), set(), 0.0
-        for last, (term, is_strict, w) in self.auto.iter(s):
+        strict, soft = set(), set()
+        for last, (term, is_strict) in self.auto.iter(s) if len(self.auto) else ():
             first = last - len(term) + 1
             if (first and s[first - 1].isascii() and s[first - 1].isalnum()) or (last + 1 < len(s) and s[last + 1].isascii() and s[last + 1].isalnum()):
                 continue
             (strict if is_strict else soft).add(term)
-            weight += w
-        return strict, soft, weight
+        return strict, soft
+
+    def weight(self, soft: set[str]) -> float:
+        """The weights of the different soft terms."""
+        return sum(self.soft[t] for t in sorted(soft))
 
     def blocks(self, strict: set[str], soft: set[str]) -> bool:
-        return bool(strict) or len(soft) >= self.limit
+        return bool(strict) or (len(soft) >= self.limit and self.weight(soft) >= self.least - 1e-9)
 
 
-def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str]] = RULES, strict: dict[str, float] = STRICT, soft: dict[str, float] = SOFT, soft_limit: int = SOFT_LIMIT) -> DataFrame:
+def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str]] = RULES, strict: Sequence[str] = STRICT, soft: dict[str, float] = SOFT, soft_limit: int = SOFT_LIMIT, soft_weight: float = SOFT_WEIGHT) -> DataFrame:
     """One row per row: page_id, host, path, rule, verdict, strict_hits, soft_hits (bigint), weight (double).
 
-    The longest rule that fits decides; else the vocabulary, which a null URL passes. Repeated rows and null ids are
-    judged alike; other columns are ignored; an empty table gives no rows.
+    The longest rule that fits decides; else the vocabulary, which a null URL passes: one strict term blocks, and so do
+    `soft_limit` different soft terms whose weights add up to `soft_weight`. A term counts once, however often and in
+    whatever part of the URL it stands. Repeated rows and null ids are judged alike; other columns are ignored; an
+    empty table gives no rows. `vocabulary_of` reads a vocabulary from a table.
     """
     kind = pages.schema[page_id].dataType.simpleString()
     schema = f"page_id {kind}, host string, path string, rule string, verdict string, strict_hits bigint, soft_hits bigint, weight double"
@@ -99,29 +134,30 @@ def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rul
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known, words = RuleSet(rules), Vocabulary(strict, soft, soft_limit)
+        known, words = RuleSet(rules), Vocabulary(strict, soft, soft_limit, soft_weight)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for u in batch.column(1).to_pylist():
                 host, path = split_url(u)
                 found = known.find(host, path)
-                a, b, weight = words.hits(u)
-                row = (host, path, found and found[0], found[1] if found else "block" if words.blocks(a, b) else "allow", len(a), len(b), weight)
+                a, b = words.hits(u)
+                row = (host, path, found and found[0], found[1] if found else "block" if words.blocks(a, b) else "allow", len(a), len(b), words.weight(b))
                 for col, v in zip(out, row):
                     col.append(v)
             kinds = [pa.string()] * 4 + [pa.int64()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds))], names=["page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits", "weight"])
 
-    return pages.select(page_id, url).mapInArrow(run, schema)
+    return pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url")).mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: host, path, rule and verdict of every page."""
-    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")
+    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits", F.round("weight", 6).alias("soft_weight"))
 
 
 def _counted(terms) -> str:
-    return " + ".join(f"(CASE WHEN regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') THEN 1 ELSE 0 END)" for t in terms)
+    """The sum of the weights of the terms that stand in `u` between boundaries."""
+    return " + ".join(f"(CASE WHEN regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') THEN {w} ELSE 0 END)" for t, w in dict(terms).items())
 
 
 ORACLE = f"""
@@ -134,7 +170,7 @@ WITH a AS (
     regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
   FROM a
 ), c AS (
-  SELECT *, '.' || host AS h, ({_counted(STRICT)})::BIGINT AS strict_hits, ({_counted(SOFT)})::BIGINT AS soft_hits FROM b
+  SELECT *, '.' || host AS h, ({_counted({t: 1 for t in STRICT})})::BIGINT AS strict_hits, ({_counted({t: 1 for t in SOFT})})::BIGINT AS soft_hits, ({_counted(SOFT)})::DOUBLE AS soft_weight FROM b
 ), d AS (
   SELECT *, CASE
     WHEN h LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
@@ -146,6 +182,6 @@ WITH a AS (
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-    WHEN strict_hits >= 1 OR soft_hits >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict, strict_hits, soft_hits
+    WHEN strict_hits >= 1 OR (soft_hits >= {SOFT_LIMIT} AND soft_weight >= {SOFT_WEIGHT}) THEN 'block' ELSE 'allow' END AS verdict, strict_hits, soft_hits, round(soft_weight, 6) AS soft_weight
 FROM d
 """

@@ -205,8 +205,41 @@ def test_pii(spark, edge_docs, no_docs):
     assert pii.find_pii(no_docs).count() == 0
 
 
+def test_iban_readings_and_context():
+    found = lambda t: [(s.kind, t[s.start : s.end], s.score) for s in pii.Finder().spans(t) if s.kind in pii.KINDS[4:]]
+    code = "BE68 5390 0754 7034"
+    for tail in (" paid", " EUR", " AND", " BIC GEBABEBB", "", ".", "\n1234"):
+        assert found(f"to {code}{tail}") == [("iban", code, 0.6)]
+    assert found(f"to account {code} EUR") == [("iban", code, 0.8)]
+    assert found(f"to {code}7") == [] and found(f"to x{code}") == [] and found("BE68 5390 0754 7035") == []
+    # a word of another thing beside it tells against the code, and a word of its own again for it
+    assert found(f"invoice {code} of May") == [] and found(f"invoice {code}, bank transfer") == [("iban", code, 0.6)]
+    # an unregistered country needs a word of its own, and the longest reading that is confirmed counts
+    odd = next(f"QZ{k:02d} 1111 2222 3333 4444" for k in range(2, 99) if pii.mod97(f"QZ{k:02d}1111222233334444"))
+    assert found(f"see {odd} AND") == [] and found(f"iban {odd} AND") == [("iban", odd, 0.6)]
+    assert found("ssn 123-45-6789") == [("ssn", "123-45-6789", 0.6)] and found("no 123-45-6789") == [] and found("order 123-45-6789 ssn") == []
+
+
+def test_pii_query_equals_plain_version(spark, tmp_path):
+    import random
+
+    rng = random.Random(8)
+    rows = [(k, t) for k, t in enumerate([None, "", *PII])]
+    for k in range(80):
+        rows.append((100 + k, "".join(rng.choice(["a", "é", "@", ".", "-", "+", " ", "1", "42", "255", "4111 1111 1111 1111", "me@b.de", "+49 30 1234567", "10.0.0.1", "\n"]) for _ in range(rng.randint(1, 40)))))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in pii.query(spark, str(tmp_path)).collect():
+        want = plain_pii(dict(rows)[r.doc_id] or "")
+        joined = ",".join(f"{k}:{a}:{e}" for k, a, e in want)
+        assert r.base_sha256 == sha(joined) and [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, *_ in want) for x in pii.KINDS[:4]]
+        spans = [x for x in r.spans.split(",") if x]
+        assert [x for x in spans if x.split(":")[0] in pii.KINDS[:4]] == [x for x in joined.split(",") if x]
+        assert len(spans) == len([x for x in r.scores.split(",") if x])
+
+
 def test_pii_long_runs_are_linear():
     f = pii.Finder()
+    f.spans("AB12" * 50_000 + " " + "AB12 " * 50_000)
     assert f.spans("1" * 200_000 + " " + "a" * 200_000 + "@") == []
     assert f.spans("0" * 300_000 + ".0.0.1")[0].kind == "ip"
 
@@ -255,10 +288,39 @@ def test_bpe_tree_equals_direct_merge(library):
 
 def test_bpe_long_match(library):
     t = bpe.TextCodec(*bpe.default_vocabulary())
-    for s in ("ab" * 4000, "a" * 7001, "étè" * 2000, " " * 5000, LONG):
+    for s in ("ab" * 4000, "a" * 7001, "étè" * 2000, " " * 5000, LONG, "=" * 32_003, "=-" * 20_001, "-" * 511 + "ab" * 700, "x" * 1025 + "the" * 900):
         assert t.encode(s) == library[1].encode_ordinary(s)
 
 
+def test_bpe_of_a_long_run_of_one_sign():
+    import time
+
+    t, began = bpe.TextCodec(*bpe.default_vocabulary()), time.time()
+    assert len(t.encode("=" * 300_000)) < 10_000
+    assert time.time() - began < 20
+
+
+def test_bpe_queue_equals_direct_merge(library):
+    import random
+
+    rng, t = random.Random(1), bpe.TreeBPE(library[0])
+    for _ in range(400):
+        b = "".join(rng.choice(rng.choice(["ab", "the inro", "=-", "é漢a "])) for _ in range(rng.randint(0, 90))).encode()
+        assert t.merge_queued(b) == t.merge(b)
+
+
+def test_clashing_columns(spark):
+    from annalist.llm import language_id
+
+    df = spark.createDataFrame([(1, "some text", 7, 8, 9, 2)], "doc_id long, text string, `a.b` int, n_tokens int, lang_pred int, c0 int")
+    out = bpe.encode_documents(df)
+    assert out.columns == ["doc_id", "text", "a.b", "lang_pred", "c0", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    r = out.first()
+    assert (r["a.b"], r["lang_pred"], r["c0"], r["n_tokens"]) == (7, 9, 2, 2)
+    out = language_id.predict(df, {"en": {"t": 0, "e": 1}})
+    assert out.columns == ["doc_id", "text", "a.b", "n_tokens", "c0", "lang_pred", "score", "distance"] and out.first()["a.b"] == 7
+
+
 # --- 10 --------------------------------------------------------------------------------------
 
 
@@ -275,3 +337,18 @@ def test_url_filter(spark):
         (9, "", "", None, "allow"), (10, "", "", None, "allow"), (11, "example.com", "", None, "allow"), (12, "x.com:80", "/", None, "allow"), (13, "", "", None, "allow"), (1, "b.net", "/fr/É", "net/fr/", "block"),
     ]
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_url_weights_and_vocabulary_table(spark):
+    rows = [(1, "http://a.org/free-click"), (2, "http://a.org/free-click-win"), (3, "http://a.org/free-bet"), (4, "http://a.org/bet/bet"), (None, "http://a.org/porn"), (5, "http://a.org/" + "free/" * 300_000 + "poker"), (6, "http://CASINO.org")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, host string, `a.b` int").coalesce(1)
+    got = [(r.page_id, r.verdict, r.soft_hits, r.weight) for r in url_filter.judge_urls(df).collect()]
+    assert got == [(1, "allow", 2, 1.0), (2, "block", 3, 1.5), (3, "block", 2, 1.5), (4, "allow", 1, 1.0), (None, "block", 0, 0.0), (5, "block", 2, 1.5), (6, "block", 0, 0.0)]
+    terms = spark.createDataFrame([("Bad", "strict", None), ("so-so", "soft", 0.9), ("so-so", "soft", 0.2), ("meh", "soft", None), (None, "soft", 1.0), ("x", "other", 1.0)], "term string, kind string, weight double")
+    strict, soft = url_filter.vocabulary_of(terms)
+    assert (strict, soft) == (["bad"], {"so-so": 0.9, "meh": 1.0})
+    urls = spark.createDataFrame([(1, "http://q.org/bad"), (2, "http://q.org/so-so"), (3, "http://q.org/so-so?meh"), (4, "http://q.org/badly")], "page_id long, url string").coalesce(1)
+    assert [r.verdict for r in url_filter.judge_urls(urls, strict=strict, soft=soft).collect()] == ["block", "allow", "block", "allow"]
+    assert [r.verdict for r in url_filter.judge_urls(urls, strict=(), soft={}).collect()] == ["allow"] * 4
+    with pytest.raises(ValueError):
+        url_filter.vocabulary_of(terms, limit=1)
