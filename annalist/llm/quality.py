@@ -2,8 +2,8 @@
 
 Two scans of the texts. The first counts the hashed 1- and 2-grams of words and signs of all documents (raw corpus) and of the
 trusted ones (target) into BUCKETS multinomials, pre-aggregated in each task. The second looks each n-gram's ratio
-up in that table (BUCKETS rows at most, so its broadcast has a fixed bound) and sums per row in the task that read
-the row. No text is shuffled.
+up by its place in one array of BUCKETS ratios, which every task holds, and sums them within the row: no n-gram becomes
+a row, and no text is shuffled.
 """
 
 from __future__ import annotations
@@ -69,16 +69,16 @@ def pieces_of(text: Column) -> Column:
 def _buckets(words: Column) -> Column:
     """The buckets of all words and of all pairs of neighbours, as an array.
 
-    The array is made before it is exploded: a row that carried the words along would copy them for each n-gram. And
-    it goes through explode_outer: for a plain explode Spark infers a filter on the array and evaluates it below the
-    projections, words and all, for each element.
+    Where it is exploded, it is made before, as a row that carried the words along would copy them for each n-gram; and
+    by explode_outer, as for a plain explode Spark infers a filter on the array and evaluates it below the projections,
+    words and all, for each element.
     """
     bucket = lambda *ws: F.pmod(F.xxhash64(*ws), F.lit(BUCKETS)).cast("int")
     return F.concat(F.transform(words, lambda w: bucket(w)), F.transform(F.slice(words, 2, F.lit(1 << 30)), lambda w, i: bucket(F.get(words, i), w)))
 
 
-def ratio_table(docs: DataFrame, target_ids: DataFrame, text: str = "text") -> DataFrame:
-    """(bucket, micro): the log ratio of target to raw of every bucket seen, in millionths, so that sums are exact.
+def ratio_array(docs: DataFrame, target_ids: DataFrame, text: str = "text") -> DataFrame:
+    """One row (ratios): the log ratio of target to raw of every bucket in order, in millionths, so that sums are exact.
 
     docs: (doc_id, text), all of them. target_ids: (target_id), MAX_TARGET_DOCS rows at most.
     """
@@ -86,11 +86,12 @@ def ratio_table(docs: DataFrame, target_ids: DataFrame, text: str = "text") -> D
     own = marked.select(F.col("target_id").isNotNull().alias("trusted"), pieces_of(F.col(text)).alias("w"))
     grams = own.select("trusted", _buckets(F.col("w")).alias("b")).select("trusted", F.explode_outer("b").alias("bucket"))
     counts = grams.where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("trusted").alias("target"))
-    totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
-    part = lambda n, total: F.log((F.col(n) + SMOOTHING) / (F.col(total) + SMOOTHING * BUCKETS))
-    llr = F.when(F.col("all_target") > 0, part("target", "all_target") - part("raw", "all_raw")).otherwise(0.0)
-    # the totals are one row
-    return counts.join(F.broadcast(totals)).select("bucket", F.round(llr * 1e6).cast("bigint").alias("micro"))
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("place"))
+    full = every.join(counts, every.place == counts.bucket, "left").select("place", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
+    one = full.agg(F.sort_array(F.collect_list(F.struct("place", "raw", "target"))).alias("rows"), F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
+    part = lambda n, total: F.log((n + SMOOTHING) / (F.col(total) + SMOOTHING * BUCKETS))
+    llr = lambda x: F.when(F.col("all_target") > 0, part(x["target"], "all_target") - part(x["raw"], "all_raw")).otherwise(0.0)
+    return one.select(F.transform("rows", lambda x: F.round(llr(x) * 1e6).cast("bigint")).alias("ratios"))
 
 
 def trusted_ids(labels: DataFrame, limit: int = MAX_TARGET_DOCS) -> DataFrame:
@@ -108,14 +109,13 @@ def judge_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     are ignored. An empty table gives no rows.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    table_ = ratio_table(plain, trusted_ids(labels))
-    rows = features(plain).select("doc_id", *COUNTS, "base_failed", pieces_of(F.col("text")).alias("w"), F.monotonically_increasing_id().alias("row"))
-    grams = rows.withColumn("b", _buckets(F.col("w"))).select("doc_id", *COUNTS, "base_failed", "row", F.explode_outer("b").alias("gram"))
-    scored = grams.join(F.broadcast(table_), grams.gram == table_.bucket, "left")
-    first = lambda c: F.first(c).alias(c)
-    out = scored.groupBy("row").agg(*map(first, ("doc_id", *COUNTS, "base_failed")), F.count("gram").alias("n_grams"), F.coalesce(F.sum("micro"), F.lit(0)).alias("micro"))
+    names = ("doc_id", *COUNTS, "base_failed")
+    rows = features(plain).select(*names, pieces_of(F.col("text")).alias("w"))
+    rows = rows.select(*names, _buckets(F.col("w")).alias("b"), ratio_array(plain, trusted_ids(labels)).scalar().alias("ratios"))
+    summed = F.aggregate("b", F.lit(0).cast("bigint"), lambda total, k: total + F.get(F.col("ratios"), k))
+    out = rows.select(*names, F.size("b").cast("bigint").alias("n_grams"), summed.alias("micro"))
     out = out.withColumn("score", F.when(F.col("n_grams") > 0, F.round(F.col("micro") / F.col("n_grams") / 1e6, 6)).otherwise(0.0))
-    return out.select("doc_id", *COUNTS, "base_failed", "n_grams", "score", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
+    return out.select(*names, "n_grams", "score", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
