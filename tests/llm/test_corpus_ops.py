@@ -179,6 +179,7 @@ def test_decontaminate(spark, edge_docs, no_docs):
         assert got == {(30, 1, True), (31, 1, False), (34, None, True)}
     kept = decontaminate.drop_leaks(df, bench)
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([r[0] for r in EDGES] + [32, 33], key=str)
+    assert decontaminate.drop_leaks(no_docs, bench).count() == 0
     assert decontaminate.find_leaks(no_docs, bench).count() == 0
     assert decontaminate.find_leaks(df, bench.limit(0)).count() == 0
 
@@ -214,14 +215,111 @@ def test_short_items(spark, size):
 
 
 def test_anchors_outnumber_what_may_be_missing(spark):
-    rows = [(n, " ".join(f"{'ab' if k % 7 else 'cd'}{chr(97 + k % m)}x" for k in range(n))) for n in range(5, 40) for m in (3, 26)]
-    items = decontaminate.items_of(spark.createDataFrame(rows, "item_id long, text string"))
-    for least in (0.5, 0.8, 0.9):
-        n = {r.item_key: r.n for r in decontaminate.anchors(items, least).groupBy("item_key").agg(F.count_distinct("hash").alias("n")).collect()}
-        for r in items.collect():
-            w = r.item_words
-            all_ = len({tuple(w[k : k + 5]) for k in range(len(w) - 4)})
-            assert n[r.item_key] > int(all_ - least * all_ + 1e-9)
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefghijk") * 3 for _ in range(rng.randint(5, 60))) for _ in range(40)]
+    items = decontaminate.items_of(spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"))
+    got = Counter(r.item_key for r in decontaminate.anchors(items).select("item_key", "hash").distinct().collect())
+    for r in items.collect():
+        n = len({tuple(r.item_plain[k : k + 5]) for k in range(len(r.item_plain) - 4)})
+        assert got[r.item_key] == int(n * 0.2 + 1e-9) + 1
+
+
+def plain_template(t):
+    """Words with their slots' marks, by the definitions."""
+    import regex
+
+    t = regex.sub(r"[\x01-\x03]", " ", t or "")
+    t = regex.sub(r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", "\x01\\1", t)
+    if regex.search(r"\p{N}", t):
+        t = regex.sub(r"(\p{N}+(?:[.,]\p{N}+)*)", " \x02\\1 ", t).lower()
+        t = regex.sub(rf"(\x02[\p{{N}}.,]+) +({decontaminate.UNITS.replace(' ', '|')})(?![\p{{L}}\p{{N}}])", "\\1 \x03\\2", t)
+    return regex.sub(r"(?<!\p{N})[.,]|[.,](?!\p{N})|[^\p{L}\p{N}\x01-\x03.,]+", " ", t.lower()).split()
+
+
+def plain_leaks(text, item):
+    """None, or (similarity, exact) of the best of all ways to lay the item along the text."""
+    slot = lambda w: w[0] in "\x01\x02\x03"
+    temp = lambda ws: [w[0] if slot(w) else w for w in ws]
+    bare = lambda ws: [w[1:] if slot(w) else w for w in ws]
+    wins = lambda ws: [tuple(ws[k : k + 5]) for k in range(len(ws) - 4)]
+    own, its = plain_template(text), plain_template(item)
+    if len(its) < 5:
+        return None
+    want_p, order = set(wins(bare(its))), wins(temp(its))
+    want_t = {w for w in order if any(len(x) > 1 or x not in "\x01\x02\x03" for x in w)}
+    slack, best = -int(-(len(its) * (1 - 0.8) + 5) // 1), None
+    doc_p, doc_t = wins(bare(own)), wins(temp(own))
+    starts = {j - i for ws, ds in ((order, doc_t), (wins(bare(its)), doc_p)) for i, w in enumerate(ws) for j, d in enumerate(ds) if w == d}
+    for s in starts:
+        first = max(s - slack, 0)
+        last = s + len(its) + slack
+        sp, st, words = doc_p[first : last - 4], doc_t[first : last - 4], own[first:last]
+        p = len(want_p & set(sp)) / len(want_p)
+        t = len(want_t & set(st)) / len(want_t) if want_t else 0.0
+        if p >= 0.8:
+            best = max(best or (0, False), (max(p, t), True))
+        elif t >= 0.8:
+            off, low, pairs, covered = s - first, 0, set(), set()
+            for i, w in enumerate(order):
+                near = [i + off] if i + off >= low and i + off < len(st) and st[i + off] == w else [j for j in range(low, min(len(st), max(i + off, low) + slack + 1)) if st[j] == w]
+                if near:
+                    off, low = near[0] - i, near[0] + 1
+                    for k in range(5):
+                        if slot(its[i + k]):
+                            covered.add(i + k)
+                            pairs.add((its[i + k], words[near[0] + k]))
+            if len(covered) >= 0.8 * sum(map(slot, its)) and len({a for a, _ in pairs}) == len(pairs):
+                best = max(best or (0, False), (t, False))
+    return best
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(12)
+    names, common = ["Anna", "Paul", "Marie", "Oslo"], "the how many of a cost when coins box each gives does next train leaves keep".split()
+    fill = lambda n: [rng.choice(common) if rng.random() < 0.75 else rng.choice([rng.choice(names), str(rng.randint(2, 40)), f"{rng.randint(2, 9)} km", "word" + chr(97 + rng.randint(0, 20))]) for _ in range(n)]
+    items = [" ".join(fill(rng.randint(5, 40))) for _ in range(12)] + ["1 2 3 4 5 6 7", "What is 10 plus 3 and then again 10 times 3 when both are 10 of a kind"]
+    docs = []
+    for k in range(220):
+        words = rng.choice(items).split(" ")
+        if k % 3 == 0:  # other values: by a rule, or at random
+            one = {}
+            words = [one.setdefault(w, str(rng.randint(50, 99))) if w.isdigit() and k % 2 else str(rng.randint(50, 99)) if w.isdigit() else rng.choice(names) if w in names and k % 2 == 0 else w for w in words]
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at = rng.randrange(len(words))
+            words[at : at + rng.choice([0, 1])] = [rng.choice(["zzz", "extra", "77", "Lea"])]
+        docs.append((k, " ".join(fill(rng.randint(0, 30)) + words + fill(rng.randint(0, 30)))))
+    docs += [(900, " ".join(map(str, range(60)))), (901, None), (902, "")]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.exact) for r in decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    want = {(i, j): x for i, t in docs for j, item in enumerate(items) if (x := plain_leaks(t, item))}
+    assert len(want) > 100 and any(not e for _, e in want.values())
+    assert set(got) == set(want)
+    assert {k: e for k, (_, e) in got.items()} == {k: e for k, (_, e) in want.items()}
+
+
+def test_slots_of_a_value_in_two_places(spark):
+    item = "Anna has 10 apples in the red box and then she buys 10 pears for the blue box today"
+    rows = [
+        (1, item.replace("10", "12")),
+        (2, item.replace("10 apples", "12 apples").replace("10 pears", "99 pears")),
+        (3, item.replace("10 apples", "12 apples").replace("10 pears", "99 pears").replace("box today", "box right today")),
+        (4, item.replace("10", "12").replace("box today", "box right today")),
+    ]
+    twice = "count 10 and go on to the left side count 10 and go on to the right side"
+    rows += [(5, twice.replace("10", "7")), (6, twice.replace("10", "7", 1).replace("10", "8"))]
+    bench = spark.createDataFrame([(1, item), (2, twice)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.exact) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1, False), (4, 1, False), (5, 2, False)}
+
+
+def test_drop_leaks_judges_rows(spark):
+    rows = [(None, QUESTION), (None, "a clean text without an id"), (1, QUESTION), (1, "another text of the same id"), (2, None)]
+    docs = spark.createDataFrame([(*r, 3, 4) for r in rows], "doc_id long, text string, leaks int, `a.b` int")
+    bench = spark.createDataFrame([("q", QUESTION), ("r", "some other item with enough words in it")], "item_id string, text string")
+    for block in (250_000, 10):
+        kept = decontaminate.drop_leaks(docs, bench, block_words=block)
+        assert kept.columns == docs.columns
+        assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
 
 
 # --- 7 ---------------------------------------------------------------------------------------
@@ -240,6 +338,39 @@ def plain_counts(t):
     return len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", t)), dup, len(covered)
 
 
+def test_quality_score_equals_plain_version(spark, tmp_path):
+    import math
+
+    import regex
+    import xxhash
+
+    rng = random.Random(6)
+    words = "alpha beta gamma delta the of, x1 ## é".split()
+    rows = [(k, None if k == 5 else " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for k in range(60)]
+    labels = [(k, k % 2, int(k % 6 == 1)) for k in range(0, 60, 1)] + [(None, 1, 0)]
+    spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, score int").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+
+    def buckets(t):
+        ws = regex.findall(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+", t or "")
+        h = lambda s, seed: (x := xxhash.xxh64_intdigest(s.encode(), seed)) - (x >> 63 << 64)
+        unsigned = lambda x: x % (1 << 64)
+        return [h(w, 42) % quality.BUCKETS for w in ws] + [h(b, unsigned(h(a, 42))) % quality.BUCKETS for a, b in zip(ws, ws[1:])]
+
+    good = {i for i, q, toxic in labels if i is not None and q == 1 and not toxic}
+    raw, target = Counter(), Counter()
+    for i, t in rows:
+        raw.update(buckets(t))
+        if i in good:
+            target.update(buckets(t))
+    part = lambda c, k: math.log((c[k] + 0.5) / (sum(c.values()) + 0.5 * quality.BUCKETS))
+    for r in quality.query(spark, str(tmp_path)).collect():
+        grams = buckets(dict(rows)[r.doc_id])
+        score = sum(part(target, k) - part(raw, k) for k in grams) / len(grams) if grams else 0.0
+        assert r.n_grams == len(grams) and r.score == pytest.approx(score, abs=2e-6)
+        assert r.kept == (not r.base_failed and r.score >= quality.THRESHOLD)
+
+
 def test_quality(spark, edge_docs, no_docs):
     rng = random.Random(5)
     good = [(100 + k, " ".join(rng.choice("the of and town river people house".split()) for _ in range(80))) for k in range(30)]
