@@ -23,6 +23,11 @@ LETTER_SPELLINGS = (("y", "i"), ("cq", "c"), ("ck", "c"))
 OLD_ENDING = "(?<=[aeiou])(?:lx|ulx|ux)$"
 
 
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _decomposed() -> tuple[str, str]:
     """From the rule (compatibility decomposition without marks) for U+00A0 to U+024F: letters that become one other."""
     one, to = "", ""
@@ -96,7 +101,7 @@ def normalize_spaces(c: Column) -> Column:
 
 
 #: Particles before which a hyphen at a line's end belongs to a compound name.
-PARTICLES = "sur sous lès les lez la le en devant aux au de du des et am an bei im auf der von".split()
+PARTICLES = ("sur", "sous", "lès", "les", "lez", "la", "le", "en", "devant", "aux", "au", "de", "du", "des", "et", "am", "an", "bei", "im", "auf", "der", "von")
 
 
 def dehyphenate(lines: Column) -> Column:
@@ -106,7 +111,7 @@ def dehyphenate(lines: Column) -> Column:
         line = F.trim(raw)
         first = F.regexp_extract(line, r"(?U)^\w*", 0)
         broken = acc.endswith("-") & ~acc.endswith(" -")
-        lower = first.rlike(r"(?U)^\p{Ll}") & ~first.isin(PARTICLES)
+        lower = first.rlike(r"(?U)^\p{Ll}") & ~first.isin(*PARTICLES)
         return (
             F.when(line == "", acc)
             .when(acc == "", line)
@@ -172,8 +177,8 @@ def to_roman(n: Column) -> Column:
 
 
 #: Digit pairs that the scan confuses, for number variants (nine) and for alignment (eleven; trap T4).
-CONFUSED_VARIANTS = "35 14 17 56 68 38 06 09 05".split()
-CONFUSED_ALIGNMENT = "35 14 17 56 68 38 69 05 09 06 89".split()
+CONFUSED_VARIANTS = ("35", "14", "17", "56", "68", "38", "06", "09", "05")
+CONFUSED_ALIGNMENT = ("35", "14", "17", "56", "68", "38", "69", "05", "09", "06", "89")
 
 
 def _at(s: Column, i: Column) -> Column:
@@ -212,6 +217,29 @@ def digit_neighbours(n: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.transform(kept, lambda v: v.cast("bigint")), lambda v: v != n)))
 
 
+def loose_numbers(n: Column) -> Column:
+    """The numbers that read as n at an alignment cost of 1.0 at most: up to three confused digits, one other digit, or
+    one digit more or less and one confused; without leading zero, n itself included."""
+    others = {d: [x[1 - x.index(d)] for x in CONFUSED_ALIGNMENT if d in x] for d in "0123456789"}
+    swaps = F.create_map(*[x for d, o in others.items() for x in (F.lit(d), F.array(*map(F.lit, o)).cast("array<string>"))])
+    places = lambda s: F.sequence(F.lit(1), F.length(s))
+    put = lambda s, i, d: F.concat(F.substring(s, F.lit(1), i - 1), d, F.substr(s, i + 1))
+    confused = lambda words: F.array_distinct(F.flatten(F.transform(words, lambda s: F.flatten(F.transform(places(s), lambda i: F.transform(F.element_at(swaps, _at(s, i)), lambda d: put(s, i, d)))))))
+    digits = F.array(*[F.lit(str(d)) for d in range(10)])
+    own = F.array(n.cast("string"))
+    other = F.flatten(F.transform(own, lambda s: F.flatten(F.transform(places(s), lambda i: F.transform(digits, lambda d: put(s, i, d))))))
+    less = F.filter(F.flatten(F.transform(own, lambda s: F.transform(places(s), lambda i: put(s, i, F.lit(""))))), lambda s: s != "")
+    more = F.flatten(F.transform(own, lambda s: F.flatten(F.transform(F.sequence(F.lit(0), F.length(s)), lambda i: F.transform(digits, lambda d: F.concat(F.substring(s, F.lit(1), i), d, F.substr(s, i + 1)))))))
+    one = let(F.array_distinct(F.concat(less, more)), lambda x: F.concat(x, confused(x)))
+    # each digit is confused once, from left to right
+    level = lambda states: F.flatten(F.transform(states, lambda x: F.flatten(F.transform(F.filter(places(x["s"]), lambda i: i > x["at"]), lambda i: F.transform(F.element_at(swaps, _at(x["s"], i)), lambda d: F.struct(put(x["s"], i, d).alias("s"), i.alias("at")))))))
+    texts = lambda states: F.transform(states, lambda x: x["s"])
+    first = F.transform(own, lambda s: F.struct(s.alias("s"), F.lit(0).alias("at")))
+    three = let(level(first), lambda a: let(level(a), lambda b: F.concat(texts(a), texts(b), texts(level(b)))))
+    found = F.filter(F.array_distinct(F.concat(own, other, one, three)), lambda s: ~s.startswith("0"))
+    return F.transform(found, lambda s: s.cast("bigint"))
+
+
 def expand_numbers(tokens: Column) -> Column:
     """Abbreviated numbers and ranges in full: 1537, 38 is 1537, 1538; 709-715 is the range (E5)."""
 

@@ -6,11 +6,13 @@ ladder of preferences is one conditional aggregation per record.
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annalist.functions import text
-from annalist.functions.fuzzy import number_cost, ocr_similarity, ratio
+from annalist.functions.fuzzy import ocr_similarity, ratio
 
 
 def number_pairs(entries: DataFrame, index: DataFrame) -> DataFrame:
@@ -25,30 +27,19 @@ def number_pairs(entries: DataFrame, index: DataFrame) -> DataFrame:
     return exact.unionAll(confused.join(exact.select("no", "row_id"), ["no", "row_id"], "left_anti")).distinct()
 
 
-def loose_pairs(entries: DataFrame, index: DataFrame, most: float = 1.0, old_forms: DataFrame | None = None, cutoff: float = 0.82) -> DataFrame:
-    """(no, row_id, "loose"): rows with a number that reads as the entry's at that cost, or with garbled numbers.
+def loose_pairs(entries: DataFrame, index: DataFrame, old_forms: DataFrame | None = None, cutoff: float = 0.82) -> DataFrame:
+    """(no, row_id, "loose"): rows with a number that reads as the entry's at a cost of 1.0, or with garbled numbers.
 
-    Garbled rows (numbers_ok false) are compared with all entries by name, through `named_pairs` at `cutoff`.
+    The numbers that read so are listed and joined by value. Garbled rows (numbers_ok false) are compared with all
+    entries by name, through `named_pairs` at `cutoff`.
     """
-    numbers = index.select("row_id", F.explode("numbers").alias("n")).select("row_id", "n", F.explode(_blocks(F.col("n"))).alias("block"))
-    own = entries.select("no", F.explode(_blocks(F.col("no"))).alias("block"))
-    pairs = own.join(numbers, "block").select("no", "n").distinct()
-    near = pairs.where(number_cost(F.col("n").cast("string"), F.col("no")) <= most)
-    rows = near.join(numbers.select("row_id", "n").distinct(), "n").select("no", "row_id")
+    numbers = index.select("row_id", F.explode("numbers").alias("n"))
+    near = entries.select("no", F.explode(text.loose_numbers(F.col("no"))).alias("v"))
+    rows = near.join(numbers, near.v == numbers.n).select("no", "row_id")
     garbled = named_pairs(entries, index.where(~F.col("numbers_ok")), cutoff, old_forms)
     return rows.unionAll(garbled).distinct().withColumn("kind", F.lit("loose"))
 
 
-def _blocks(n: Column) -> Column:
-    """A number's digit classes whole, with one place blank, and with one place left out.
-
-    Confusable digits are one class, so numbers that read as each other at a cost of 1.0 share a block: the whole for
-    confused digits alone, a blank for one other digit, a place left out for one digit more or less.
-    """
-    s = F.translate(n.cast("string"), "3568947", "0000011")
-    return F.array_distinct(F.concat(F.array(s), F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.lit("_"), F.substr(s, i + 1))), F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substr(s, i + 1)))))
-
-
 def named_pairs(entries: DataFrame, index: DataFrame, cutoff: float, old_forms: DataFrame | None = None) -> DataFrame:
     """(no, row_id): all pairs whose `similarity`, raised by `bridge` if there are old forms, can reach `cutoff`, and some others."""
     a = entries.select("no", text.name_key(F.col("name")).alias("q"))
@@ -74,11 +65,25 @@ def _forms(old_forms: DataFrame) -> DataFrame:
     return old_forms.select(text.name_key(F.col("old")).alias("ok"), text.name_key(F.regexp_replace("modern", r"\(.*?\)", "")).alias("mk")).distinct()
 
 
+def name_keys(name: Column) -> list[Column]:
+    """The keys that H3 compares: of the name (nk) and of its base name (bk)."""
+    return [text.name_key(name).alias("nk"), text.name_key(text.base_name(name)).alias("bk")]
+
+
+def can_reach(a: Column, b: Column, cutoff: float) -> Column:
+    """Whether two keys can have a ratio of `cutoff`: it leaves (1 - cutoff) of the letters unmatched at most, and so as many edits."""
+    return F.levenshtein(a, b) <= F.floor((1 - cutoff) * (F.length(a) + F.length(b)) + 1e-9)
+
+
 def similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """`pairs` with `sim`: the better ratio of a's key with the key of b or of b's base name (H3), scored per distinct pair."""
-    names = pairs.select(a, b).distinct()
-    keys = [text.name_key(F.col(a)), text.name_key(F.col(b)), text.name_key(text.base_name(F.col(b)))]
-    scored = names.select(a, b, *[k.alias(f"k{i}") for i, k in enumerate(keys)]).withColumn("sim", F.greatest(ratio("k0", "k1"), ratio("k0", "k2")))
+    """`pairs` with `sim`: the better ratio of a's key with the key of b or of b's base name (H3).
+
+    Keys are made once for each name, ratios once for each pair of keys.
+    """
+    own = pairs.select(a).distinct().select(a, text.name_key(F.col(a)).alias("ak"))
+    other = pairs.select(b).distinct().select(b, *name_keys(F.col(b)))
+    names = pairs.select(a, b).distinct().join(own, a).join(other, b)
+    scored = names.withColumn("sim", F.greatest(ratio("ak", "nk"), ratio("ak", "bk")))
     return pairs.join(scored.select(a, b, "sim"), [a, b])
 
 
@@ -96,8 +101,17 @@ def match_ladder(entries: DataFrame, index: DataFrame, old_forms: DataFrame | No
     index: (row_id, name, numbers, numbers_ok). Ties go to the smaller row_id.
     """
     pairs = number_pairs(entries, index).unionAll(loose_pairs(entries, index, old_forms=old_forms)).unionAll(name_pairs(entries, index, old_forms=old_forms))
-    named = pairs.join(entries.select("no", F.col("name").alias("entry_name")), "no").join(index.select("row_id", F.col("name").alias("row_name")), "row_id")
-    named = similarity(named, "entry_name", "row_name")
+    own = entries.select("no", F.col("name").alias("entry_name"), text.name_key(F.col("name")).alias("ak"))
+    named = pairs.join(own, "no").join(index.select("row_id", F.col("name").alias("row_name"), *name_keys(F.col("name"))), "row_id")
+    # of other kinds than exact numbers only names that reach a step of the ladder count; a name that an old form leads
+    # from may do so by the bridge
+    least = lambda c: can_reach(F.col("ak"), F.col("nk"), c) | can_reach(F.col("ak"), F.col("bk"), c)
+    sieve = F.when(F.col("kind") == "exact", True).when(F.col("kind") == "confused", least(0.75)).when(F.col("kind") == "loose", least(0.82)).otherwise(least(0.9))
+    if old_forms is not None:
+        led = _forms(old_forms).select(F.col("ok"), F.lit(True).alias("led")).distinct()
+        named = named.join(led, F.col("ak") == F.col("ok"), "left")
+        sieve = sieve | F.coalesce("led", F.lit(False))
+    named = named.where(sieve).withColumn("sim", F.greatest(ratio("ak", "nk"), ratio("ak", "bk"))).select("no", "row_id", "kind", "entry_name", "row_name", "sim")
     if old_forms is not None:
         named = bridge(named, old_forms, "entry_name", "row_name")
     best = lambda kind: F.max(F.when(F.col("kind") == kind, F.struct(F.col("sim").alias("s"), (-F.col("row_id")).alias("r"))))
@@ -122,30 +136,82 @@ def match_ladder(entries: DataFrame, index: DataFrame, old_forms: DataFrame | No
     return entries.select("no").join(chosen, "no", "left").select("no", F.coalesce("x", none).alias("x")).select("no", "x.*")
 
 
+#: Strings that a key may give by leaving out letters, at each number of letters, and the most letters left out.
+VARIANTS, MOST_LEFT_OUT = 500, 4
+
+
+def _matching(a: Column, b: Column, cutoff: float) -> Column:
+    """The letters that keys of lengths a and b must match for a ratio of `cutoff`."""
+    return F.ceil((a + b) * (cutoff / 2) - 1e-9).cast("int")
+
+
+def _shortest(n: Column, cutoff: float) -> Column:
+    """The least length of a key that can reach `cutoff` with one of length n."""
+    return F.ceil(n * (cutoff / (2 - cutoff)) - 1e-9).cast("int")
+
+
+def _affordable(n: Column) -> Column:
+    """How many letters of a key of length n may be left out within VARIANTS strings."""
+    most = [max(k for k in range(min(MOST_LEFT_OUT, m) + 1) if all(comb(m, i) <= VARIANTS for i in range(k + 1))) for m in range(256)]
+    return F.coalesce(F.get(F.array(*map(F.lit, most)), n), F.lit(0))
+
+
+def shortened(key: Column, most: Column) -> Column:
+    """The different strings that a key gives by leaving out 0 to `most` (MOST_LEFT_OUT at most) letters: array<struct<s, k>>.
+
+    Letters are left out from left to right, so each choice of places is made once.
+    """
+    state = "array<struct<s:string,at:int>>"
+
+    def step(level: Column) -> Column:
+        cut = lambda x, i: F.struct(F.concat(F.substring(x["s"], F.lit(1), i - 1), F.substr(x["s"], i + 1)).alias("s"), i.alias("at"))
+        places = lambda x: F.when(F.length(x["s"]) >= x["at"], F.sequence(x["at"], F.length(x["s"]))).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(level, lambda x: F.transform(places(x), lambda i: cut(x, i)))).cast(state)
+
+    def down(level: Column, k: int) -> Column:
+        own = F.transform(F.array_distinct(F.transform(level, lambda x: x["s"])), lambda s: F.struct(s.alias("s"), F.lit(k).alias("k")))
+        if k == MOST_LEFT_OUT:
+            return own
+        return F.concat(own, F.when(most > k, text.let(step(level), lambda nxt: down(nxt, k + 1))).otherwise(F.array().cast("array<struct<s:string,k:int>>")))
+
+    return down(F.array(F.struct(key.alias("s"), F.lit(1).alias("at"))).cast(state), 0)
+
+
 def ratio_pairs(queries: DataFrame, keys: DataFrame, cutoff: float) -> DataFrame:
-    """(q, key): all pairs whose ratio can reach `cutoff`, over 0.8, and some others, by an inverted index of letter pairs.
+    """(q, key): all pairs whose ratio can reach `cutoff`, over 0.8, and some others.
 
-    A ratio of c over T letters in all needs M = ceil(c T / 2) matching ones, in T - 2 M + 1 runs at most, so 3 M - T - 1
-    pairs of letters stand in both keys, and of q's pairs at most 4 (1 - c) / (2 - c) a letter are lost. One more than
-    that of its pairs, the rarest, lead to every such key. Equal keys are pairs at any length.
+    A ratio of c over T letters needs M = ceil(c T / 2) matching ones, in the same order in both keys, so both give one
+    string of M letters by leaving others out. Where the lengths of a pair allow few such strings, pairs meet in a join
+    on them, whose output follows the result. Other pairs (long keys, low cutoffs) meet by length and by letter pairs: in
+    T - 2 M + 1 runs at most, M letters keep 3 M - T - 1 pairs, so at most 4 (1 - c) / (2 - c) a letter of q's are lost,
+    and one more than that, the rarest, lead to every such key. At the end the edit distance, T - 2 M at most, sieves.
     """
     if cutoff <= 0.8:
         raise ValueError("at 0.8 and below, two short keys need not share a pair of letters")
     a = queries.select("q").where("q <> ''").distinct()
     b = keys.select("key").where("key <> ''").distinct()
-    right = b.select("key", F.explode(text.bigrams(F.col("key"))).alias("g"))
-    often = right.groupBy("g").agg(F.count("*").alias("n"))
-    lost = F.floor(F.length("q") * (4 * (1 - cutoff) / (2 - cutoff)) + 1e-9).cast("int")
-    left = a.select("q", F.explode(text.bigrams(F.col("q"))).alias("g")).join(often, "g", "left")
-    left = left.groupBy("q").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g"))).alias("gs"))
-    left = left.select("q", F.explode(F.slice("gs", F.lit(1), lost + 1)).alias("x")).select("q", "x.g")
-    met = left.join(right, "g").select("q", "key")
-    letters = F.length("q") + F.length("key")
-    matching = F.ceil(letters * (cutoff / 2) - 1e-9)
-    met = met.where(F.least(F.length("q"), F.length("key")) >= matching).distinct()
+    n, m = F.length("q"), F.length("key")
+    met = a.join(b, a.q == b.key).select("q", "key")
+    # by strings with letters left out
+    left_out = lambda c: F.least(F.length(c) - _matching(F.length(c), _shortest(F.length(c), cutoff), cutoff), _affordable(F.length(c)))
+    cut = lambda df, c: df.select(c, F.explode_outer(shortened(F.col(c), left_out(c))).alias("x")).select(c, F.xxhash64("x.s").alias(f"{c}_h"), F.col("x.k").alias(f"{c}_k"))
+    need = _matching(n, m, cutoff)
+    close = cut(a, "q").join(cut(b, "key"), F.col("q_h") == F.col("key_h")).where((n - F.col("q_k") == need) & (m - F.col("key_k") == need)).select("q", "key")
+    met = met.unionAll(close)
+    # by letter pairs, where either key of two such lengths gives too many strings
+    many = lambda x, y: (x - _matching(x, y, cutoff) > _affordable(x)) | (y - _matching(x, y, cutoff) > _affordable(y))
+    lengths = F.filter(F.sequence(_shortest(n, cutoff), F.floor(n * ((2 - cutoff) / cutoff) + 1e-9).cast("int")), lambda y: many(n, y))
+    right = b.select("key", m.alias("length"), F.explode(text.bigrams(F.col("key"))).alias("g"))
+    often = right.groupBy("g").agg(F.count("*").alias("often"))
+    lost = F.floor(n * (4 * (1 - cutoff) / (2 - cutoff)) + 1e-9).cast("int")
+    left = a.where(F.size(lengths) > 0).select("q", F.explode(text.bigrams(F.col("q"))).alias("g")).join(often, "g", "left")
+    left = left.groupBy("q").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("n"), "g"))).alias("gs"))
+    left = left.select("q", F.explode(F.slice("gs", F.lit(1), lost + 1)).alias("x"), lengths.alias("lengths")).select("q", "x.g", F.explode("lengths").alias("length"))
+    sieved = left.join(right, ["g", "length"]).select("q", "key")
     shared = F.size(F.array_intersect(text.bigrams(F.col("q")), text.bigrams(F.col("key"))))
-    met = met.where(shared >= F.size(text.bigrams(F.col("q"))) - (F.length("q") + letters - 3 * matching))
-    return met.unionAll(a.join(b, a.q == b.key).select("q", "key")).distinct()
+    sieved = sieved.where(shared >= F.size(text.bigrams(F.col("q"))) - (n + n + m - 3 * need))
+    met = met.unionAll(sieved)
+    return met.where(F.levenshtein("q", "key") <= n + m - 2 * need).distinct()
 
 
 def closest(queries: DataFrame, keys: DataFrame, cutoff: float, k: int = 1, block: int = 2) -> DataFrame:
@@ -185,7 +251,10 @@ def search(queries: DataFrame, places: DataFrame, limit: int = 5) -> DataFrame:
     labels = places.withColumn("key", text.spelling_key(F.regexp_replace("label", r"\s*\(.*?\)", ""))).where(F.length("key") >= 3)
     asked = queries.withColumn("k", text.spelling_key(F.col("q"))).where("k <> ''")
     cand = qgram_candidates(asked.select(F.col("k").alias("q")), labels.select("key")).select(F.col("q").alias("k"), "key")
-    cand = cand.where(ratio(text.coarse(F.col("key")), text.coarse(F.col("k"))) >= 0.7).withColumn("s", ocr_similarity("k", "key")).where("s >= 0.6")
+    # a ratio of 0.7 leaves 0.3 of the letters unmatched at most, and so as many edits: a test without Python
+    a, b = text.coarse(F.col("key")), text.coarse(F.col("k"))
+    cand = cand.where(F.levenshtein(a, b) <= F.floor(0.3 * (F.length(a) + F.length(b)) + 1e-9))
+    cand = cand.where(ratio(a, b) >= 0.7).withColumn("s", ocr_similarity("k", "key")).where("s >= 0.6")
     hits = asked.join(cand, "k").join(labels.select("key", "place_id", "label", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "is_land"), "key")
     km = text.haversine_km(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon"))
     score = F.col("s") - F.coalesce(F.least(km, F.lit(150.0)) / 500, F.lit(0.05)) - F.when(F.col("is_land") | F.col("label").contains("("), 0.08).otherwise(0.0)

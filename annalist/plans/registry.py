@@ -586,7 +586,7 @@ def alignment_cost(spark, d):
     from annalist.functions.fuzzy import number_cost
 
     rows = table(spark, d, "supplier").select(F.translate(F.col("s_suppkey").cast("string"), "105", "lO3").alias("token"), F.col("s_suppkey").cast("bigint").alias("number"))
-    return rows.select("token", "number", F.round(number_cost("token", "number"), 6).alias("cost"))
+    return rows.select("token", "number", F.round(number_cost(F.col("token"), F.col("number")), 6).alias("cost"))
 
 
 # --- reviews ----------------------------------------------------------------------------------
