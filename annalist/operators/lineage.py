@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -18,3 +19,13 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="annalist-"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """`df` dealt out to every core by the columns, for a few rows that much work follows on.
+
+    Spark sizes partitions by bytes, and would leave a small table that grows in an explode or a Python stage in one task.
+    A hash of the columns is dealt by, as a partitioning by the columns that is there already would be taken instead.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), F.xxhash64(*columns))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from annalist.functions import text
 from annalist.functions.fuzzy import ocr_similarity, ratio
+from annalist.operators.lineage import spread
 
 
 def number_pairs(entries: DataFrame, index: DataFrame) -> DataFrame:
@@ -30,14 +31,14 @@ def number_pairs(entries: DataFrame, index: DataFrame) -> DataFrame:
 def loose_pairs(entries: DataFrame, index: DataFrame, old_forms: DataFrame | None = None, cutoff: float = 0.82) -> DataFrame:
     """(no, row_id, "loose"): rows with a number that reads as the entry's at a cost of 1.0, or with garbled numbers.
 
-    The numbers that read so are listed and joined by value. Garbled rows (numbers_ok false) are compared with all
+    A pair may come more than once. The numbers that read so are listed and joined by value. Garbled rows (numbers_ok false) are compared with all
     entries by name, through `named_pairs` at `cutoff`.
     """
     numbers = index.select("row_id", F.explode("numbers").alias("n"))
-    near = entries.select("no", F.explode(text.loose_numbers(F.col("no"))).alias("v"))
+    near = spread(entries.select("no"), "no").select("no", F.explode(text.loose_numbers(F.col("no"))).alias("v"))
     rows = near.join(numbers, near.v == numbers.n).select("no", "row_id")
     garbled = named_pairs(entries, index.where(~F.col("numbers_ok")), cutoff, old_forms)
-    return rows.unionAll(garbled).distinct().withColumn("kind", F.lit("loose"))
+    return rows.unionAll(garbled).withColumn("kind", F.lit("loose"))
 
 
 def named_pairs(entries: DataFrame, index: DataFrame, cutoff: float, old_forms: DataFrame | None = None) -> DataFrame:
@@ -82,7 +83,7 @@ def similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """
     own = pairs.select(a).distinct().select(a, text.name_key(F.col(a)).alias("ak"))
     other = pairs.select(b).distinct().select(b, *name_keys(F.col(b)))
-    names = pairs.select(a, b).distinct().join(own, a).join(other, b)
+    names = spread(pairs.select(a, b).distinct().join(own, a).join(other, b), a, b)
     scored = names.withColumn("sim", F.greatest(ratio("ak", "nk"), ratio("ak", "bk")))
     return pairs.join(scored.select(a, b, "sim"), [a, b])
 
@@ -188,8 +189,8 @@ def ratio_pairs(queries: DataFrame, keys: DataFrame, cutoff: float) -> DataFrame
     """
     if cutoff <= 0.8:
         raise ValueError("at 0.8 and below, two short keys need not share a pair of letters")
-    a = queries.select("q").where("q <> ''").distinct()
-    b = keys.select("key").where("key <> ''").distinct()
+    a = spread(queries.select("q").where("q <> ''").distinct(), "q")
+    b = spread(keys.select("key").where("key <> ''").distinct(), "key")
     n, m = F.length("q"), F.length("key")
     met = a.join(b, a.q == b.key).select("q", "key")
     # by strings with letters left out
@@ -237,24 +238,29 @@ def prefix_join(short: DataFrame, long: DataFrame, extra: int = 4) -> DataFrame:
     return a.join(b, "b").where(F.col("longer").startswith(F.col("key")) & (F.length("longer") >= F.length("key") + extra)).select("key", "longer")
 
 
+def _sharing(queries: DataFrame, keys: DataFrame, share: float) -> DataFrame:
+    """(q, key, qc, kc, n): `qgram_candidates` with the coarse keys, which are made once for each key."""
+    a = queries.select("q").distinct().withColumn("qc", text.coarse(F.col("q"))).withColumn("pairs", text.bigrams(F.col("qc")))
+    need = F.greatest(F.lit(1), F.floor(share * F.size("pairs")))
+    left = spread(a.select("q", "qc", need.alias("need"), F.explode("pairs").alias("p")), "q", "p")
+    right = spread(keys.select("key").distinct(), "key").withColumn("kc", text.coarse(F.col("key"))).select("key", "kc", F.explode(text.bigrams(F.col("kc"))).alias("p"))
+    met = left.join(right, "p").groupBy("q", "key").agg(F.first("qc").alias("qc"), F.first("kc").alias("kc"), F.first("need").alias("need"), F.count("*").alias("n"))
+    return met.where(F.col("n") >= F.col("need")).drop("need")
+
+
 def qgram_candidates(queries: DataFrame, keys: DataFrame, share: float = 0.4) -> DataFrame:
     """(q, key, n): keys sharing at least `share` of a query's coarse letter pairs, one at least (C30, first sieve)."""
-    a = queries.select("q").distinct().withColumn("pairs", text.bigrams(text.coarse(F.col("q"))))
-    need = F.greatest(F.lit(1), F.floor(share * F.size("pairs")))
-    left = a.select("q", need.alias("need"), F.explode("pairs").alias("p"))
-    right = keys.select("key").distinct().select("key", F.explode(text.bigrams(text.coarse(F.col("key")))).alias("p"))
-    return left.join(right, "p").groupBy("q", "key", "need").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("need")).select("q", "key", "n")
+    return _sharing(queries, keys, share).select("q", "key", "n")
 
 
 def search(queries: DataFrame, places: DataFrame, limit: int = 5) -> DataFrame:
     """(q, place_id, score, rank): ranked dictionary search (C30). queries: (q, lat, lon); places: (place_id, label, lat, lon, is_land)."""
     labels = places.withColumn("key", text.spelling_key(F.regexp_replace("label", r"\s*\(.*?\)", ""))).where(F.length("key") >= 3)
     asked = queries.withColumn("k", text.spelling_key(F.col("q"))).where("k <> ''")
-    cand = qgram_candidates(asked.select(F.col("k").alias("q")), labels.select("key")).select(F.col("q").alias("k"), "key")
+    cand = _sharing(asked.select(F.col("k").alias("q")), labels.select("key"), 0.4).withColumnRenamed("q", "k")
     # a ratio of 0.7 leaves 0.3 of the letters unmatched at most, and so as many edits: a test without Python
-    a, b = text.coarse(F.col("key")), text.coarse(F.col("k"))
-    cand = cand.where(F.levenshtein(a, b) <= F.floor(0.3 * (F.length(a) + F.length(b)) + 1e-9))
-    cand = cand.where(ratio(a, b) >= 0.7).withColumn("s", ocr_similarity("k", "key")).where("s >= 0.6")
+    cand = cand.where(can_reach(F.col("kc"), F.col("qc"), 0.7)).where(ratio("kc", "qc") >= 0.7)
+    cand = cand.withColumn("s", ocr_similarity("k", "key")).where("s >= 0.6").select("k", "key", "s")
     hits = asked.join(cand, "k").join(labels.select("key", "place_id", "label", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "is_land"), "key")
     km = text.haversine_km(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon"))
     score = F.col("s") - F.coalesce(F.least(km, F.lit(150.0)) / 500, F.lit(0.05)) - F.when(F.col("is_land") | F.col("label").contains("("), 0.08).otherwise(0.0)
