@@ -55,8 +55,15 @@ def far_from(a: DataFrame, b: DataFrame, radius_km: float) -> DataFrame:
     return a.join(close, F.col("id") == F.col("x"), "left_anti")
 
 
+#: Circles that a configuration may have; each point is held against all of them.
+MAX_ZONES = 1_000
+
+
 def in_zones(points: DataFrame, zones: DataFrame) -> DataFrame:
     """The points inside a circle of `zones` (lat, lon, radius_km, country or null for any) (C29); zones are a few rows of configuration."""
+    n = zones.limit(MAX_ZONES + 1).count()
+    if n > MAX_ZONES:
+        raise ValueError(f"over {MAX_ZONES} zones: join them by cells (radius_join)")
     z = zones.select(F.col("lat").alias("z_lat"), F.col("lon").alias("z_lon"), "radius_km", F.col("country").alias("z_country"))
     near = haversine_km(F.col("lat"), F.col("lon"), F.col("z_lat"), F.col("z_lon")) <= F.col("radius_km")
     return points.join(F.broadcast(z), near & (F.col("z_country").isNull() | (F.col("z_country") == F.col("country"))), "left_semi")
@@ -73,18 +80,20 @@ def match_score(similarity: Column, rank: Column, km: Column, radius_km: float)
     return 4 * similarity + 0.15 * rank - 0.5 * km / radius_km
 
 
-def best_near(places: DataFrame, items: DataFrame, similarity, radius_km: float, cutoff: float = NAME_CUTOFF, exclude: DataFrame | None = None) -> DataFrame:
+def best_near(places: DataFrame, items: DataFrame, similarity, radius_km: float, cutoff: float | Column = NAME_CUTOFF, exclude: DataFrame | None = None) -> DataFrame:
     """(place_id, item_id, similarity, km, confidence): the best item near each place's anchor.
 
     places: (id, lat, lon, key); items: (id, lat, lon, key, rank). `similarity(a, b)` is a Column function of two keys;
-    it runs on pairs that share a cell and a first letter only. `exclude`: (place_id, item_id) pairs not to take.
+    it runs on pairs within the radius whose edit distance allows `cutoff`, a number or a Column over a_key. `exclude`:
+    (place_id, item_id) pairs not to take.
     """
     pairs = radius_join(places, items, radius_km)
     pairs = pairs.join(places.select(F.col("id").alias("a_id"), F.col("key").alias("a_key")), "a_id").join(items.select(F.col("id").alias("b_id"), F.col("key").alias("b_key"), "rank"), "b_id")
-    pairs = pairs.where(F.substring("a_key", 1, 1) == F.substring("b_key", 1, 1))
+    least = F.lit(cutoff) if isinstance(cutoff, float) else cutoff
+    pairs = pairs.where(F.levenshtein("a_key", "b_key") <= F.floor((1 - least) * (F.length("a_key") + F.length("b_key")) + 1e-9))
     if exclude is not None:
         pairs = pairs.join(exclude.select(F.col("place_id").alias("a_id"), F.col("item_id").alias("b_id")), ["a_id", "b_id"], "left_anti")
-    scored = pairs.withColumn("similarity", F.when(F.col("a_key") == F.col("b_key"), 1.0).otherwise(similarity(F.col("a_key"), F.col("b_key")))).where(F.col("similarity") >= cutoff)
+    scored = pairs.withColumn("similarity", F.when(F.col("a_key") == F.col("b_key"), 1.0).otherwise(similarity(F.col("a_key"), F.col("b_key")))).where(F.col("similarity") >= least)
     scored = scored.withColumn("score", match_score(F.col("similarity"), F.col("rank"), F.col("km"), radius_km))
     best = scored.groupBy("a_id").agg(F.max_by(F.struct("b_id", "similarity", "km"), F.struct("score", "rank", "b_id")).alias("x"))
     return best.select(F.col("a_id").alias("place_id"), F.col("x.b_id").alias("item_id"), F.col("x.similarity").alias("similarity"), F.col("x.km").alias("km"), F.when(F.col("x.similarity") >= 0.95, "high").otherwise("medium").alias("confidence"))
@@ -173,9 +182,13 @@ def voronoi_cells(points: DataFrame, clip_m: float = 6000.0, segments: int = 96)
             px, py = xs[i], ys[i]
             d2 = (xs - px) ** 2 + (ys - py) ** 2
             poly = [(px + a, py + b) for a, b in disc]
+            reach = clip_m
             for j in np.argsort(d2, kind="stable"):
-                if 0 < d2[j] < size * size and poly:
+                if d2[j] >= 4 * reach * reach or not poly:
+                    break  # a point twice as far as the cell reaches takes nothing of it, nor do those behind
+                if d2[j] > 0:
                     poly = _clip(poly, px, py, xs[j], ys[j])
+                    reach = max((math.hypot(a - px, b - py) for a, b in poly), default=0.0) + 1e-6
             out.append((block["id"].iloc[i], polygon_area(poly), [[round(a, 3), round(b, 3)] for a, b in poly]))
         return pd.DataFrame(out, columns=["id", "area", "ring"])
 
@@ -183,12 +196,51 @@ def voronoi_cells(points: DataFrame, clip_m: float = 6000.0, segments: int = 96)
 
 
 def dissolve(cells: DataFrame, members: DataFrame, group: str) -> DataFrame:
-    """(group, area, settlements, shared, rings): a division's cells as one multipolygon (I3). members: (group, id)."""
+    """(group, area, settlements, shared, rings): a division's cells as one multipolygon (I3). members: (group, id).
+
+    Cells meet along common edges, so an edge that two cells of a division have is inside it. The edges that one cell
+    alone has are its border, chained to rings; corners are put on a grid of a millimetre first. shared: the places
+    that lie in another division too.
+    """
     n = members.groupBy("id").agg(F.count_distinct(group).alias("n")).withColumnRenamed("id", "k")
     own = members.join(cells, "id").join(n, F.col("id") == F.col("k"))
-    return own.groupBy(group).agg(
-        F.sum("area").alias("area"), F.count("*").alias("settlements"), F.array_sort(F.collect_list(F.when(F.col("n") > 1, F.col("id")))).alias("shared"), F.transform(F.array_sort(F.collect_list(F.struct("id", "ring"))), lambda s: s["ring"]).alias("rings")
-    )
+    sums = own.groupBy(group).agg(F.sum("area").alias("area"), F.count("*").alias("settlements"), F.array_sort(F.collect_list(F.when(F.col("n") > 1, F.col("id")))).alias("shared"))
+    grid = lambda p: F.struct(F.round(p[0] * 1000).cast("bigint").alias("x"), F.round(p[1] * 1000).cast("bigint").alias("y"))
+    after = lambda i: F.get(F.col("ring"), (i + 1) % F.size("ring"))
+    edges = own.select(group, F.explode(F.transform("ring", lambda p, i: F.struct(grid(p).alias("a"), grid(after(i)).alias("b")))).alias("e")).where("e.a <> e.b")
+    border = edges.groupBy(group, F.least("e.a", "e.b").alias("low"), F.greatest("e.a", "e.b").alias("high")).agg(F.count("*").alias("k"), F.first("e").alias("e")).where("k = 1")
+    key = members.schema[group].dataType.simpleString()
+
+    def chain(pdf):
+        import pandas as pd
+
+        return pd.DataFrame([(pdf[group].iloc[0], border_rings([(a["x"], a["y"], b["x"], b["y"]) for a, b in zip(pdf["a"], pdf["b"])]))], columns=[group, "rings"])
+
+    flat = border.select(group, F.col("e.a").alias("a"), F.col("e.b").alias("b"))
+    rings = flat.groupBy(group).applyInPandas(chain, f"{group} {key}, rings array<array<array<double>>>").withColumnRenamed(group, "__g")
+    return sums.join(rings, F.col(group) == F.col("__g"), "left").select(group, "area", "settlements", "shared", "rings")
+
+
+def border_rings(edges) -> list:
+    """Directed edges (x1, y1, x2, y2) in millimetres as closed rings in metres, each from its smallest corner, sorted; at a
+    corner where several edges leave, the sharpest turn to the left keeps parts that only meet there apart."""
+    leave: dict[tuple, list[tuple]] = {}
+    for ax, ay, bx, by in sorted(edges):
+        leave.setdefault((ax, ay), []).append((bx, by))
+    rings = []
+    for start in sorted(leave):
+        while leave[start]:
+            ring, at, came = [start], leave[start].pop(0), start
+            while at != start and leave.get(at):
+                ring.append(at)
+                back = math.atan2(came[1] - at[1], came[0] - at[0])
+                turn = lambda q: (back - math.atan2(q[1] - at[1], q[0] - at[0])) % (2 * math.pi) or 2 * math.pi  # noqa: B023, E731
+                nxt = min(leave[at], key=turn) if len(leave[at]) > 1 else leave[at][0]
+                leave[at].remove(nxt)
+                came, at = at, nxt
+            k = ring.index(min(ring))
+            rings.append([[x / 1000, y / 1000] for x, y in ring[k:] + ring[:k]])
+    return sorted(rings)
 
 
 def simplify_ring(ring, tolerance: float):
@@ -227,16 +279,28 @@ def edge_distance(x: float, y: float, ring) -> float:
     return best
 
 
-def label_point(ring, steps: int = 41) -> tuple[float, float] | None:
-    """The grid point inside a ring that is farthest from its edge."""
-    xs, ys = [p[0] for p in ring], [p[1] for p in ring]
+def label_point(polygons, steps: int = 40, degrees: bool = False) -> tuple[float, float] | None:
+    """The point to write a name at (H34): of a grid over the box of the largest polygon, both ends included, the point inside,
+    holes left out, that is farthest from all edges; the first of equals by column, then row.
+
+    polygons: each a list of rings, the outer one first, then holes. degrees: x and y are longitudes and latitudes, and
+    are measured with longitudes shortened as in the box's middle.
+    """
+    whole = max(polygons, key=lambda rings: polygon_area([tuple(p) for p in rings[0]]), default=None)
+    if not whole:
+        return None
+    rings = [[tuple(p) for p in r] for r in whole]
+    (west, east), (south, north) = ((min(v), max(v)) for v in zip(*rings[0]))
+    short = math.cos(math.radians((south + north) / 2)) if degrees else 1.0
+    rings = [[(x * short, y) for x, y in r] for r in rings]
     best, at = -1.0, None
-    for i in range(steps):
-        for j in range(steps):
-            x = min(xs) + (max(xs) - min(xs)) * (i + 0.5) / steps
-            y = min(ys) + (max(ys) - min(ys)) * (j + 0.5) / steps
-            if inside_ring(x, y, ring) and (d := edge_distance(x, y, ring)) > best:
-                best, at = d, (x, y)
+    for i in range(steps + 1):
+        for j in range(steps + 1):
+            x, y = west + (east - west) * i / steps, south + (north - south) * j / steps
+            if inside_ring(x * short, y, rings[0]) and not any(inside_ring(x * short, y, h) for h in rings[1:]):
+                d = min(edge_distance(x * short, y, r) for r in rings)
+                if d > best:
+                    best, at = d, (x, y)
     return at
 
 
@@ -247,7 +311,7 @@ def label_points_of(cells: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            pts = [label_point([tuple(p) for p in r]) if r else None for r in batch.column(1).to_pylist()]
+            pts = [label_point([[r]]) if r else None for r in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p and p[0] for p in pts], pa.float64()), pa.array([p and p[1] for p in pts], pa.float64())], names=["id", "x", "y"])
 
     return cells.select("id", "ring").mapInArrow(run, f"id {cells.schema['id'].dataType.simpleString()}, x double, y double")

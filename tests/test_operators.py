@@ -117,23 +117,72 @@ def test_parsers(spark):
     assert w.entry() == {"district": "p", "realm": "r", "section": "clergy", "series": None}
 
 
-def test_geocode(spark):
-    places = spark.createDataFrame([("a", 48.0, 6.0, "charmas"), ("b", 48.0, 6.0, "charmes"), ("c", 48.0, 6.0, "zzz")], "id string, lat double, lon double, key string")
-    items = spark.createDataFrame([("q1", 48.01, 6.0, "charmes", 3.0), ("q2", 48.05, 6.0, "charmaz", 3.0), ("q3", 49.9, 6.0, "zzz", 3.0)], "id string, lat double, lon double, key string, rank double")
-    members = spark.createDataFrame([("a", "d"), ("b", "d"), ("c", "d")], "id string, district string")
-    got = {r.id: (r.item_id, r.method) for r in geocode.geocode(places, items, members).collect()}
-    assert got == {"a": ("q2", "commune"), "b": ("q1", "commune"), "c": (None, "unlocated")} or got["b"] == ("q1", "commune")
+ITEMS = "id string, lat double, lon double, key string, rank double"
+PLACES = "id string, key string, commune string, canton string"
+
+
+def test_geocode_first_pass(spark):
+    seats = spark.createDataFrame([("ville", 48.0, 6.0), ("ville", 49.5, 6.0), ("bourg", 48.15, 6.1), ("eherlon", 49.0, 7.0)], "key string, lat double, lon double")
+    items = spark.createDataFrame([("q1", 48.01, 6.0, "eharmes", 3.0), ("q2", 48.05, 6.0, "eharmaz", 3.0), ("q3", 49.9, 6.0, "zzzzzz", 3.0), ("q4", 47.0, 5.0, "unique", 3.0), ("q5", 47.0, 5.0, "double", 3.0), ("q6", 49.0, 8.0, "double", 3.0), ("q7", 48.0, 6.1, "poor", 1.5)], ITEMS)
+    places = spark.createDataFrame([
+        ("a", "eharmas", "ville", "bourg"), ("b", "eharmes", "ville", "bourg"), ("c", "zzzzzz", "ville", None), ("d", "unique", None, None), ("e", "double", None, None),
+        ("f", "eherlon", None, "eherlon"), ("g", "poor", None, None), ("h", "eharmes", None, "bourg"), ("i", "misread", "gone", None),
+    ], PLACES)
+    got = {r.id: (r.item_id, r.method, r.confidence, r.lat) for r in geocode.first_pass(geocode.anchors(places, seats), items).collect()}
+    assert got == {
+        "a": ("q1", "commune", "medium", 48.01), "b": ("q1", "commune", "high", 48.01), "c": (None, "approximate", "low", 48.0), "d": ("q4", "name", "medium", 47.0), "e": ("q6", "name", "low", 49.0),
+        "f": (None, "canton", "medium", 49.0), "g": (None, "unlocated", "low", None), "h": ("q1", "canton", "high", 48.01), "i": (None, "unlocated", "low", None),
+    }
+
+
+def test_geocode_later_passes(spark):
+    items = spark.createDataFrame([(f"m{k}", 48.0 + k / 100, 6.0, f"member{'abcd'[k]}", 3.0) for k in range(4)] + [("zfar", 49.5, 6.0, "lostplaee", 3.0), ("near", 48.02, 6.01, "lostplaee", 3.0), ("twin", 48.01, 6.02, "membera", 3.0)], ITEMS)
+    seats = spark.createDataFrame([("ville", 48.0, 6.0), ("north", 49.5, 6.0)], "key string, lat double, lon double")
+    places = spark.createDataFrame([(f"p{k}", f"member{'abcd'[k]}", "ville", None) for k in range(4)] + [("x", "lostplaee", None, None), ("y", "membera", "ville", None), ("z", "nowhere", None, None), ("n", "memberb", "north", None)], PLACES)
+    members = spark.createDataFrame([(p, "d", "provostship") for p in ("p0", "p1", "p2", "p3", "x", "z")] + [("x", "b", "bailiwick")], "id string, district string, kind string")
+    out = geocode.geocode(places, items, seats, members)
+    got = {r.id: (r.item_id, r.method, r.confidence) for r in out.collect()}
+    assert {k: got[k] for k in ("p1", "p2", "p3")} == {"p1": ("m1", "commune", "high"), "p2": ("m2", "commune", "high"), "p3": ("m3", "commune", "high")}
+    # an ambiguous name is settled by the district; of two places of one item one looks again without it
+    assert got["x"] == ("near", "context", "medium") and got["z"] == (None, "unlocated", "low")
+    assert {got["p0"][0], got["y"][0]} == {"m0", "twin"}
+    # memberb is not near its commune, so it stays there, doubtful
+    assert got["n"] == (None, "approximate", "low")
+    rules_ = spark.createDataFrame([("z", 48.5, 6.5, "high")], "id string, lat double, lon double, confidence string")
+    ruled = {r.id: (r.lat, r.method, r.fixed) for r in geocode.geocode(places, items, seats, members, rules_).collect()}
+    assert ruled["z"] == (48.5, "rule", True)
+    land = geocode.countries(out, items.withColumn("country", F.when(F.col("id") == "near", "DE").otherwise("FR")))
+    assert dict(land.collect())["x"] == "DE"
+    # a result far from the commune that the index names is looked for again there
+    moved = geocode.first_pass(geocode.anchors(places.where("id = 'x'"), seats), items).withColumn("lat", F.lit(49.5))
+    again = geocode.check_index(moved, places.where("id = 'x'").withColumn("commune", F.lit("ville")), items, seats, members.where("false")).first()
+    assert (again.item_id, again.method, again.notes) == ("near", "commune", ["near the index's commune"])
+
+
+def test_has_no_land(spark):
     rows = spark.createDataFrame([("approximate", "high", False, False), ("exact", "low", False, False), ("exact", "high", True, False), ("exact", "high", True, True), ("exact", "high", False, False)], "m string, c string, f boolean, k boolean")
     assert [r[0] for r in rows.select(geocode.has_no_land(*map(F.col, "mcfk"))).collect()] == [True, True, True, False, False]
 
 
+def test_dissolve(spark):
+    box = lambda x, y: [[x, y], [x + 1.0, y], [x + 1.0, y + 1.0], [x, y + 1.0]]
+    cells = spark.createDataFrame([(f"{i}{j}", 1.0, box(float(i), float(j))) for i in range(4) for j in range(3)], "id string, area double, ring array<array<double>>")
+    ring8 = [(i, j) for i in range(3) for j in range(3) if (i, j) != (1, 1)]
+    members = spark.createDataFrame([("g", f"{i}{j}") for i, j in ring8] + [("h", "30"), ("h", "20"), ("k", "00"), ("k", "11")], "g string, id string")
+    got = {r.g: r for r in spatial.dissolve(cells, members, "g").collect()}
+    assert got["g"].area == 8 and got["g"].settlements == 8 and got["g"].shared == ["00", "20"]
+    assert sorted(len(r) for r in got["g"].rings) == [4, 12] and [[1.0, 1.0], [1.0, 2.0], [2.0, 2.0], [2.0, 1.0]] in got["g"].rings
+    assert len(got["h"].rings) == 1 and len(got["h"].rings[0]) == 6
+    assert sorted(len(r) for r in got["k"].rings) == [4, 4]  # cells that meet in a corner are two parts
+
+
 def test_voronoi_and_labels(spark):
     grid = [(f"p{i}{j}", 3000.0 * i, 3000.0 * j, True) for i in range(5) for j in range(5)]
     cells = {r.id: r for r in spatial.voronoi_cells(spark.createDataFrame(grid, "id string, x double, y double, listed boolean")).collect()}
     assert cells["p22"].area == pytest.approx(9e6, rel=1e-6)
     lone = spatial.voronoi_cells(spark.createDataFrame([("a", 0.0, 0.0, True), ("n", 4000.0, 0.0, False)], "id string, x double, y double, listed boolean")).collect()
     assert len(lone) == 1 and lone[0].area < math.pi * 6000**2 * 0.75
-    x, y = spatial.label_point([(0, 0), (10, 0), (10, 10), (0, 10)])
+    x, y = spatial.label_point([[[(0, 0), (10, 0), (10, 10), (0, 10)]]])
     assert abs(x - 5) < 0.2 and abs(y - 5) < 0.2
     assert spatial.simplify_ring([(0, 0), (1, 0.01), (2, 0), (2, 2)], 0.1) == [(0, 0), (2, 0), (2, 2)]
 
