@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ FIRST_WINDOW = 2
 #: A seam whose window covers both sides whole, so many bytes or more, doesn't settle.
 HOPELESS = 1024
 #: Matches up to REMEMBER bytes are kept, CACHE of them in a worker at most.
-REMEMBER, CACHE = 48, 100_000
+REMEMBER, CACHE = 48, 300_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,16 +52,19 @@ class TreeBPE:
     def merge(self, b: bytes) -> list[bytes]:
         """Direct encoding: again and again the pair of lowest rank, the leftmost of equals, becomes one."""
         parts = [b[i : i + 1] for i in range(len(b))]
-        rank = self.ranks.get
-        while len(parts) > 1:
-            low, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank(parts[i] + parts[i + 1])
-                if r is not None and (low is None or r < low):
-                    low, at = r, i
-            if low is None:
+        rank, none = self.ranks.get, 1 << 60
+        low = [rank(b[i : i + 2], none) for i in range(len(b) - 1)]  # of each part with the next one
+        while low:
+            r = min(low)
+            if r == none:
                 break
+            at = low.index(r)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del low[at]
+            if at:
+                low[at - 1] = rank(parts[at - 1] + parts[at], none)
+            if at < len(low):
+                low[at] = rank(parts[at] + parts[at + 1], none)
         return parts
 
     def merge_queued(self, b: bytes) -> list[bytes]:
@@ -175,6 +179,12 @@ class TextCodec:
         return n, ids, hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest()
 
 
+@lru_cache(maxsize=1)
+def codec_of(ranks_path: str, pattern: str) -> TextCodec:
+    """The codec of a worker, which keeps what it has learned from one task to the next."""
+    return TextCodec(ranks_path, pattern)
+
+
 def default_vocabulary() -> tuple[str, str]:
     """Path of the ranks and the pattern of the public 50k vocabulary."""
     import public_tokenizers
@@ -199,7 +209,7 @@ def encode_documents(docs: DataFrame, text: str = "text", vocabulary: tuple[str,
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = TextCodec(path, pattern)
+        codec = codec_of(path, pattern)
         for batch in batches:
             n, hashes, decoded, all_ids = [], [], [], []
             for t in batch.column(texts):
