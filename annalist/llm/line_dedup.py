@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from annalist.llm.common import WS, Scratch, ascii_lower, fresh, table
 
@@ -48,10 +49,11 @@ class LineRuns:
     def merged(runs: DataFrame) -> DataFrame:
         return runs.groupBy("key").agg(F.sum("n").alias("n"), F.max("holder").alias("holder"))
 
-    def add(self, pairs: DataFrame) -> None:
-        """Adds a batch of (key, doc_id) pairs, whose doc_ids are all smaller than those before."""
+    def add(self, pairs: DataFrame, falling: bool = True) -> None:
+        """Adds a batch of (key, doc_id) pairs, whose doc_ids are all smaller than those before; if they are not, every run
+        names a holder, and the largest counts."""
         batch = pairs.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("holder"))
-        known = self.all()
+        known = self.all() if falling else None
         if known is not None:
             keys = known.where("holder IS NOT NULL").select(F.col("key").alias("k"), F.lit(True).alias("seen"))
             batch = batch.join(keys, batch.key == keys.k, "left").select("key", "n", F.when(F.col("seen").isNull(), F.col("holder")).alias("holder"))
@@ -84,17 +86,21 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     least `min_chars` code points (stripped, A-Z lower-cased) that at least `min_docs` documents hold lose all their
     lines except in the largest doc_id that holds them. Rows that repeat a doc_id are one document of many rows: its
     keys count once, and all its rows lose the same lines. Rows of a null doc_id are left alone and not counted.
-    An empty table stays empty. Extra columns pass through; columns named n_lines or n_dropped are replaced.
+    Batches of a doc_id that is no number are cut by its hash; "largest" is then by its own order. An empty table stays
+    empty. Extra columns pass through; columns named n_lines or n_dropped are replaced.
     """
     scratch = Scratch(spark)
     own_id, key, keys, lines, lost = fresh(docs, "own_id", "key", "drop_keys", "lines_of", "lost")
     t = F.coalesce(F.col(text), F.lit(""))
     hashed = F.array_compact(F.array_distinct(F.transform(F.split(t, "\n", -1), lambda x: line_key(x, min_chars))))
     ids = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"))
-    quantiles = ids.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1_000)).first()[0]
+    falling = isinstance(docs.schema[doc_id].dataType, NumericType)
+    quantiles = ids.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1_000)).first()[0] if falling and batches > 1 else []
     bounds = ids.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("d")).first()
     cuts = sorted(set(quantiles or []))
     batch = sum(((F.col("doc_id") <= c).cast("int") for c in cuts), F.lit(0))  # 0: the largest ids
+    if not falling:
+        batch, cuts = F.pmod(F.xxhash64("doc_id"), F.lit(batches)), [None] * (batches - 1)
     pairs = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.explode_outer(hashed).alias("key")).where("key IS NOT NULL")  # a plain explode hashes twice
     pairs = pairs.select("doc_id", F.unhex("key").alias("key"), batch.alias("batch"))
     if bounds["n"] != bounds["d"]:
@@ -102,7 +108,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     pairs = scratch.save(pairs, "pairs", ["batch"])
     runs = LineRuns(spark, scratch)
     for b in range(len(cuts) + 1):
-        runs.add(pairs.where(F.col("batch") == b).select("key", "doc_id"))
+        runs.add(pairs.where(F.col("batch") == b).select("key", "doc_id"), falling)
     gone = scratch.save(dropped_keys(runs, min_docs), "gone")
     n_gone = gone.count()
     hit = gone.withColumnRenamed("key", "k")

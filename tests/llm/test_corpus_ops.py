@@ -56,6 +56,14 @@ def test_line_dedup(spark, batches):
     assert sorted(got, key=str) == plain_line_dedup(rows)
 
 
+def test_line_dedup_of_text_ids(spark):
+    rows = [(f"d{i:03d}", t) for i, t in line_docs()]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id string, text string, n_lines int, `a.b` int")
+    out = line_dedup.dedup_lines(spark, df)
+    assert out.columns == ["doc_id", "text", "a.b", "n_lines", "n_dropped"]
+    assert sorted([(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.collect()], key=str) == plain_line_dedup(rows)
+
+
 def test_line_dedup_edges(spark, edge_docs, no_docs):
     line = "a line that is repeated in many documents of this test\n"
     more = [(k, line * 2 + "x", "en", "s", 1) for k in (20, 21, 22, 23, 23, None)]
