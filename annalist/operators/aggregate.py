@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annalist.operators import ordered
+
 
 def upper_median(c: Column) -> Column:
     """The upper median of a group's values, `sorted[n // 2]` (trap T1); nulls don't count.
@@ -62,9 +64,9 @@ def mode_fill(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
 
 
 def holder_rank(holdings: DataFrame) -> DataFrame:
-    """(holder, n, rank): holders by number of holdings, then id (D10). The window is over holders, not holdings."""
+    """(holder, n, rank): holders by number of holdings, then id."""
     n = holdings.groupBy("holder").agg(F.count("*").alias("n"))
-    return n.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "holder")).cast("bigint"))
+    return ordered.ranked(n, [F.desc("n"), F.asc("holder")])
 
 
 #: Tenures by precedence.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def folder(spark) -> str:
+    """A new folder for files of one run, under the session's checkpoint folder."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="annalist-")
+    return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """`df` dealt out to every core by the columns, for a few rows that much work follows on.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annalist.operators.lineage import cut
+
 
 def out_of_sequence(rows: DataFrame, group: str, number: str, line: str) -> DataFrame:
     """Rows whose number is not above that of the row before."""
@@ -76,3 +78,17 @@ def assign_parts(pages: DataFrame, starts: list[tuple[int, str]], page: str, par
     for first, name in sorted(starts):
         c = F.when(F.col(page) >= first, name).otherwise(c)
     return pages.withColumn(part, c)
+
+
+def ranked(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """`rows` with their place in a global order, from 1.
+
+    Rows are dealt out by ranges of the order and numbered within each; the few ranges' sizes give the offsets. So no
+    task sees all rows, as it would under a window without a partition.
+    """
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__range", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    dealt = cut(dealt)
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("n"), F.min("__at").alias("first"))
+    before = sizes.select(F.col("__range").alias("__r"), "first", (F.sum("n").over(Window.orderBy("__range")) - F.col("n")).alias("before"))
+    placed = dealt.join(F.broadcast(before), F.col("__range") == F.col("__r"))
+    return placed.select(*rows.columns, (F.col("before") + F.col("__at") - F.col("first") + 1).alias(name))

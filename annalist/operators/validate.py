@@ -106,6 +106,50 @@ def number_range(entries: DataFrame, last: int) -> DataFrame:
     return issues(entries.where(~F.col("no").between(1, last)), "error", "entries", "no", "number out of range")
 
 
+def unlabelled(vocabulary: DataFrame, languages: tuple[str, ...] = ("en", "fr", "de", "ja")) -> DataFrame:
+    """Vocabulary keys that lack a label in a language. vocabulary: (vocab, key, lang, label)."""
+    has = vocabulary.where("label IS NOT NULL AND label <> ''").groupBy("vocab", "key").agg(F.collect_set("lang").alias("langs"))
+    keys = vocabulary.select("vocab", "key").distinct().join(has, ["vocab", "key"], "left")
+    lacks = F.array_except(F.array(*map(F.lit, languages)), F.coalesce("langs", F.array().cast("array<string>")))
+    return issues(keys.withColumn("lacks", lacks).where(F.size("lacks") > 0), "error", "vocab", "key", F.concat(F.lit("no label in "), F.array_join("lacks", ", ")))
+
+
+def holder_on_division(places: DataFrame) -> DataFrame:
+    """Administrative divisions with a holder: only realms are held."""
+    return issues(places.where((F.col("hierarchy") == "admin") & (F.size(F.coalesce("holder_id", F.array().cast("array<string>"))) > 0)), "error", "places", "id", "a holder on a division")
+
+
+def realm_without_holder(places: DataFrame) -> DataFrame:
+    return issues(places.where((F.col("hierarchy") == "feudal") & (F.size(F.coalesce("holder_id", F.array().cast("array<string>"))) == 0)), "info", "places", "id", "a realm without holder")
+
+
+def partners_without_share(rows: DataFrame, table: str, row: str) -> DataFrame:
+    """Rows that name with whom something is shared, but no share."""
+    return issues(rows.where((F.size(F.coalesce("share_with", F.array().cast("array<string>"))) > 0) & F.col("share").isNull()), "warning", table, row, "share_with without share")
+
+
+def duplicate_edges(edges: DataFrame) -> DataFrame:
+    twice = edges.groupBy("child", "parent", "relation").agg(F.count("*").alias("n")).where("n > 1")
+    return issues(twice, "warning", "memberships", "child", F.concat(F.lit("edge repeated: "), F.col("parent"), F.lit(" "), F.col("relation")))
+
+
+def ressort_differs(places: DataFrame, edges: DataFrame) -> DataFrame:
+    """Realms with a counterpart that answer to another division than it."""
+    r = edges.where(F.col("relation") == "ressort").select(F.col("child").alias("__c"), "parent")
+    x = places.where((F.col("hierarchy") == "feudal") & F.col("counterpart_id").isNotNull()).join(r, F.col("id") == F.col("__c")).where(F.col("parent") != F.col("counterpart_id"))
+    return issues(x, "warning", "places", "id", F.concat(F.lit("answers to "), F.col("parent"), F.lit(", counterpart "), F.col("counterpart_id")))
+
+
+def domain_of_another(holdings: DataFrame, owner: str = "duke") -> DataFrame:
+    """Domain that another than the owner holds."""
+    return issues(holdings.where((F.col("tenure") == "domain") & (F.col("holder") != owner)), "warning", "holdings", "place", F.concat(F.lit("domain held by "), F.col("holder")))
+
+
+def territory_id_form(places: DataFrame) -> DataFrame:
+    """Territories whose id does not begin with their type."""
+    return issues(places.where((F.col("kind") == "territory") & ~F.col("id").startswith(F.concat(F.col("place_type"), F.lit("-")))), "warning", "places", "id", "id does not begin with its type")
+
+
 def member_differences(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """(division, only_in, child): members that only one of two counterparts has."""
     own = edges.select("child", "parent").distinct()

@@ -84,14 +84,18 @@ def sort_key(c: Column) -> Column:
     return F.collate(padded, "UNICODE_CI_AI")
 
 
-def sort_entries(rows: DataFrame, sort: str | None) -> DataFrame:
-    """`ord`: the place of each row; blank keys last in both directions, ties by number (F1)."""
+def sort_order(sort: str | None) -> list[Column]:
+    """The order of a table's rows by a column, "-" before it for falling (F1): blank keys last in both directions, ties by number."""
     name = (sort or "no").lstrip("-")
     down = (sort or "").startswith("-")
     key = F.col("no") if name == "no" else sort_key(F.col(name))
     blank = F.col(name).isNull() | (F.col(name).cast("string") == "")
-    order = [blank.asc(), key.desc() if down else key.asc(), F.col("no").asc()]
-    return rows.orderBy(*order)
+    return [blank.asc(), key.desc() if down else key.asc(), F.col("no").asc()]
+
+
+def sort_entries(rows: DataFrame, sort: str | None) -> DataFrame:
+    """The rows in order (F1)."""
+    return rows.orderBy(*sort_order(sort))
 
 
 def fallback_name(names: Column, lang: str, default: Column) -> Column:
@@ -150,11 +154,10 @@ def compact_json(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*keep)).alias("json"))
 
 
-def version(rows: DataFrame) -> DataFrame:
-    """(version): 12 hexadecimal digits that change with any row.
+def version(files: DataFrame) -> DataFrame:
+    """(version): the first 12 hexadecimal digits of the SHA-256 over the files' contents in order of their names.
 
-    Row digests are summed as 128-bit halves, which needs no order and no gathering of rows.
+    files: (name, content), the few compiled files of one release.
     """
-    h = F.sha2(F.to_json(F.struct(*rows.columns)), 256)
-    part = lambda k: F.sum(F.conv(F.substring(h, k, 12), 16, 10).cast("decimal(38,0)"))
-    return rows.agg(part(1).alias("a"), part(13).alias("b"), F.count("*").alias("n")).select(F.substring(F.sha2(F.concat_ws("-", F.coalesce("a", F.lit(0)).cast("string"), F.coalesce("b", F.lit(0)).cast("string"), F.col("n").cast("string")), 256), 1, 12).alias("version"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", F.coalesce("content", F.lit("")).alias("content")))), lambda x: x["content"]), "")
+    return files.agg(F.substring(F.sha2(joined, 256), 1, 12).alias("version"))

@@ -66,15 +66,6 @@ def table_filter_words(spark, d):
     return query.filter_entries(view(spark, d, "entries"), query.QuerySpec(series="1-URGENT", section="fief", words="customer# 9")).select("no", "realm")
 
 
-@register("table_sort_empty_last", "SELECT no, name, row_number() OVER (ORDER BY name IS NULL, name DESC, no) AS ord FROM entries WHERE district = 'n3'")
-def table_sort_empty_last(spark, d):
-    from pyspark.sql import Window
-
-    rows = view(spark, d, "entries").where("district = 'n3'")
-    w = Window.orderBy(F.col("name").isNull(), query.sort_key(F.col("name")).desc(), "no")
-    return rows.select("no", "name", F.row_number().over(w).cast("bigint").alias("ord"))
-
-
 @register("direct_members", "SELECT parent, count(DISTINCT child)::BIGINT AS n FROM edges GROUP BY parent")
 def direct_members(spark, d):
     return query.direct_members(view(spark, d, "edges"))
@@ -95,16 +86,6 @@ def csv_export(spark, d):
     return query.csv_lines(view(spark, d, "entries"), ["no", "text", "name"])
 
 
-@register("compact_json")
-def compact_json(spark, d):
-    return query.compact_json(view(spark, d, "entries"))
-
-
-@register("content_version")
-def content_version(spark, d):
-    return query.version(view(spark, d, "entries"))
-
-
 @register("shown_areas", "+ lv AS (SELECT DISTINCT child AS node, 1 AS level FROM edges WHERE parent = 'root' UNION ALL SELECT child, 2 FROM edges WHERE child LIKE 'n%') SELECT node, level FROM lv WHERE level = 2")
 def shown_areas(spark, d):
     areas = graph.levels(view(spark, d, "edges").where("relation = 'admin'"), "root").select("node", F.col("level").cast("int").alias("level"), F.lit("admin").alias("hierarchy"), F.lit("division").alias("place_type"))
@@ -129,9 +110,9 @@ def duplicate_ids(spark, d):
     return aggregate.duplicates(view(spark, d, "entries"), "place", "no").select("place", F.col("no").alias("line"), "first_line")
 
 
-@register("mirrored_membership", "SELECT no, place FROM entries e WHERE no % 3 = 0 AND NOT EXISTS (SELECT 1 FROM edges g WHERE g.child = e.place AND g.relation = 'admin' AND g.parent = 'n' || (e.no % 25))")
+@register("mirrored_membership", "SELECT no, place FROM entries e WHERE NOT EXISTS (SELECT 1 FROM edges g WHERE g.child = e.place AND g.relation = 'admin' AND g.parent = 'n' || (e.no % 25))")
 def mirrored_membership(spark, d):
-    entries = view(spark, d, "entries").where("no % 3 = 0").withColumn("claimed", F.concat(F.lit("n"), (F.col("no") % 25).cast("string")))
+    entries = view(spark, d, "entries").withColumn("claimed", F.concat(F.lit("n"), (F.col("no") % 25).cast("string")))
     return validate.mirrored(entries, view(spark, d, "edges"), "claimed", "admin").select("no", "place")
 
 
@@ -147,7 +128,7 @@ def counterpart_check(spark, d):
     return validate.counterpart_check(places)
 
 
-@register("share_overflow", "SELECT place, count(*)::BIGINT AS n_shares FROM holdings GROUP BY place HAVING sum(CASE den WHEN 3 THEN 20 WHEN 4 THEN 15 WHEN 5 THEN 12 END) > 60")
+@register("share_overflow", "SELECT place, count(*)::BIGINT AS n_shares FROM holdings GROUP BY place HAVING sum(2520 // den) > 2520")
 def share_overflow(spark, d):
     return aggregate.share_overflow(view(spark, d, "holdings"))
 
@@ -197,7 +178,7 @@ def closure(spark, d):
     return graph.descendants(view(spark, d, "edges").where("relation = 'admin'"), "r1")
 
 
-_RING = "SELECT 'k' || o_custkey AS child, 'k' || (CASE WHEN o_custkey % 10 = 9 THEN o_custkey - 9 ELSE o_custkey + 1 END) AS parent FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey < 60)"
+_RING = "SELECT 'k' || o_custkey AS child, 'k' || (CASE WHEN o_custkey % 10 = 9 THEN o_custkey - 9 ELSE o_custkey + 1 END) AS parent FROM (SELECT DISTINCT o_custkey FROM orders)"
 
 
 @register("cycles", f"+ g AS ({_RING}), up(node, top, n) AS (SELECT child, parent, 1 FROM g UNION SELECT node, parent, n + 1 FROM up JOIN g ON top = child WHERE n < 12) SELECT DISTINCT node FROM up WHERE node = top")
@@ -211,10 +192,10 @@ def unreachable(spark, d):
     return graph.unreachable(edges.select(F.col("child").alias("node")).distinct(), edges.where("relation <> 'ressort' AND parent <> 'r3'"), "root")
 
 
-@register("chains", "SELECT c.child AS node, array_to_string([c.parent, n.parent], '>') AS chain FROM edges c JOIN edges n ON c.parent = n.child AND n.relation = 'admin' WHERE c.relation = 'admin' AND c.child LIKE 'c%'")
+@register("chains", "SELECT c.child AS node, array_to_string([c.parent, n.parent], '>') AS chain FROM edges c JOIN edges n ON c.parent = n.child AND n.relation = 'admin' WHERE c.relation = 'admin' AND n.parent <> 'root'")
 def chains(spark, d):
     admin = view(spark, d, "edges").where("relation = 'admin'")
-    nodes = admin.where("child LIKE 'c%'").select(F.col("child").alias("node")).distinct()
+    nodes = admin.join(admin.where("parent <> 'root'").select(F.col("child").alias("n")), (F.col("parent") == F.col("n")), "left_semi").select(F.col("child").alias("node")).distinct()
     return graph.chains(nodes, admin, "root").select("node", F.array_join("chain", ">").alias("chain"))
 
 
@@ -274,12 +255,6 @@ def weighted_sum_ramp(spark, d):
     return aggregate.ramp_totals(view(spark, d, "entries"), "series", "no")
 
 
-@register("holdings_rollup", "SELECT place, tenure, holder, array_to_string(list_sort(list(via)), ',') AS via FROM holdings GROUP BY place, tenure, holder")
-def holdings_rollup(spark, d):
-    rows = view(spark, d, "holdings").groupBy("place", "tenure", "holder").agg(F.array_sort(F.collect_list("via")).alias("via"))
-    return rows.select("place", "tenure", "holder", F.array_join(F.transform("via", lambda x: x.cast("string")), ",").alias("via"))
-
-
 @register("dedupe_edges", "SELECT place, tenure, min(via) AS via FROM holdings GROUP BY place, tenure")
 def dedupe_edges(spark, d):
     return aggregate.first_wins(view(spark, d, "holdings").select("place", "tenure", "via"), ["place", "tenure"], ["via"])
@@ -313,10 +288,10 @@ def upper_median_centre(spark, d):
 
 @register(
     "centre_without_self",
-    "+ p AS (SELECT id, nation, lat, lon, count(*) OVER (PARTITION BY nation) AS n FROM points WHERE id LIKE 's%'), q AS (SELECT a.id, a.nation, list_sort(list(b.lat)) AS la, list_sort(list(b.lon)) AS lo, count(*) AS k FROM p a JOIN p b ON a.nation = b.nation AND a.id <> b.id WHERE a.n > 3 GROUP BY a.id, a.nation) SELECT id, nation, round(la[(k // 2 + 1)::BIGINT], 6) AS lat, round(lo[(k // 2 + 1)::BIGINT], 6) AS lon FROM q",
+    "+ p AS (SELECT id, nation, lat, lon, count(*) OVER (PARTITION BY nation) AS n FROM points), q AS (SELECT a.id, a.nation, list_sort(list(b.lat)) AS la, list_sort(list(b.lon)) AS lo, count(*) AS k FROM p a JOIN p b ON a.nation = b.nation AND a.id <> b.id WHERE a.n > 3 GROUP BY a.id, a.nation) SELECT id, nation, round(la[(k // 2 + 1)::BIGINT], 6) AS lat, round(lo[(k // 2 + 1)::BIGINT], 6) AS lon FROM q",
 )
 def centre_without_self(spark, d):
-    out = spatial.centre_without_self(view(spark, d, "points").where("id LIKE 's%'"), "nation")
+    out = spatial.centre_without_self(view(spark, d, "points"), "nation")
     return out.select("id", "nation", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
@@ -374,38 +349,41 @@ def zones(spark, d):
 @register("voronoi_area")
 def voronoi_area(spark, d):
     x, y = text.laea(F.col("lat"), F.col("lon"))
-    p = view(spark, d, "points").where("id LIKE 's%'").select("id", x.alias("x"), y.alias("y"), (F.col("nation") % 5 != 0).alias("listed"))
+    p = view(spark, d, "points").select("id", x.alias("x"), y.alias("y"), (F.col("nation") % 5 != 0).alias("listed"))
     return spatial.voronoi_cells(p).select("id", F.round("area", 1).alias("area"))
 
 
 @register("label_point")
 def label_point(spark, d):
     x, y = text.laea(F.col("lat"), F.col("lon"))
-    p = view(spark, d, "points").where("id LIKE 's%'").select("id", x.alias("x"), y.alias("y"), F.lit(True).alias("listed"))
+    p = view(spark, d, "points").select("id", x.alias("x"), y.alias("y"), F.lit(True).alias("listed"))
     return spatial.label_points_of(spatial.voronoi_cells(p))
 
 
 @register("multi_pass_geocode")
 def multi_pass_geocode(spark, d):
-    names = table(spark, d, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("sid"), text.name_key(F.concat(F.lit("v"), F.translate(F.col("s_suppkey").cast("string"), "0123456789", "abdfghikmn"))).alias("key"))
-    places = view(spark, d, "points").join(names, F.col("id") == F.col("sid")).select("id", "lat", "lon", "key")
-    items = places.select(F.concat(F.lit("q"), "id").alias("id"), F.col("lat") + 0.01, "lon", "key", F.lit(3.0).alias("rank")).toDF("id", "lat", "lon", "key", "rank")
-    members = view(spark, d, "points").where("id LIKE 's%'").select("id", F.concat(F.lit("n"), F.col("nation").cast("string")).alias("district"))
-    return geocode.geocode(places, items, members).select("id", "item_id", "method", "confidence", F.round("similarity", 6).alias("similarity"))
+    """All points as places: named by their number, with a commune for two in three (a nation's first point of each kind),
+    members of their nation's district; items stand near the places, one in ten astray, and some names repeat."""
+    p = view(spark, d, "points").withColumn("k", F.regexp_replace("id", "[a-z]", "").cast("bigint"))
+    key = lambda n: text.geo_key(F.concat(F.lit("v"), F.translate(n.cast("string"), "0123456789", "abdfghikmn")))
+    seat = F.concat(F.lit("seat"), F.translate(F.col("nation").cast("string"), "0123456789", "abdfghikmn"))
+    seats = p.groupBy("nation").agg(F.min_by(F.struct("lat", "lon"), "id").alias("x")).select(text.geo_key(seat).alias("key"), "x.lat", "x.lon")
+    places = p.select("id", key(F.col("k")).alias("key"), F.when(F.col("k") % 3 > 0, text.geo_key(seat)).alias("commune"), F.lit(None).cast("string").alias("canton"))
+    astray = F.when(F.col("k") % 10 == 0, 1.0).otherwise(0.01)
+    items = p.select(F.concat(F.lit("q"), "id").alias("id"), (F.col("lat") + astray).alias("lat"), "lon", key(F.col("k") - F.col("k") % 7 % 2).alias("key"), F.lit(3.0).alias("rank"))
+    members = p.select("id", F.concat(F.lit("n"), F.col("nation").cast("string")).alias("district"), F.lit("provostship").alias("kind"))
+    return geocode.geocode(places, items, seats, members).select("id", "item_id", "method", "confidence", F.round("similarity", 6).alias("similarity"), F.array_join("notes", "; ").alias("notes"))
 
 
 # --- names and text ---------------------------------------------------------------------------
 
-_WORDS = "SELECT doc_id, split_part(text, chr(10), 1) AS line FROM documents"
+_LINES = "SELECT doc_id, u.i - 1 AS pos, string_split(text, chr(10))[u.i] AS line FROM documents, LATERAL (SELECT unnest(generate_series(1, len(string_split(text, chr(10))))) AS i) u WHERE text IS NOT NULL"
 
 
-def _first_lines(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("line"))
-
-
-@register("fold_slug", f"SELECT doc_id, trim(regexp_replace(lower(strip_accents(replace(replace(line, 'œ', 'oe'), 'æ', 'ae'))), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM ({_WORDS})", views=False)
+@register("fold_slug", f"SELECT doc_id, pos, trim(regexp_replace(lower(strip_accents(replace(replace(line, 'œ', 'oe'), 'æ', 'ae'))), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM ({_LINES})", views=False)
 def fold_slug(spark, d):
-    return _first_lines(spark, d).select("doc_id", text.slug(F.col("line")).alias("slug"))
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return lines.select("doc_id", F.col("pos").cast("bigint").alias("pos"), text.slug(F.col("line")).alias("slug"))
 
 
 @register("name_key", "SELECT p_partkey, translate(regexp_replace(replace(replace(replace(regexp_replace(lower(p_name), '^(la|le|les|l'')\\s+|^l''', ''), 'sainct', 'saint'), 'ssweiller', 'sweiler'), 'weiller', 'weiler'), '[^a-z]', '', 'g'), 'ct', 'el') AS key FROM part", views=False)
@@ -413,19 +391,6 @@ def name_key(spark, d):
     return table(spark, d, "part").select("p_partkey", text.name_key(F.col("p_name")).alias("key"))
 
 
-@register("display_name", "SELECT id, shown FROM (VALUES (1, 'La Malgrange'), (2, 'Oberkirchen'), (3, 'L''Abbaye'), (4, 'Hagécourt')) t(id, shown)", views=False)
-def display_name(spark, d):
-    rows = strings(spark, [(1, "Malgrange (la)"), (2, "Oberkirchen* (anciennement Catharin)"), (3, "Abbaye (l')"), (4, "llagécourt")], "id int, name string")
-    return rows.select("id", text.display_name(F.col("name")).alias("shown"))
-
-
-@register("attrs_parse", "SELECT event_id, json_extract_string(props, '$.' || k) AS v FROM (SELECT event_id, props, (json_keys(props))[1] AS k FROM events)", views=False)
-def attrs_parse(spark, d):
-    flat = F.replace(F.regexp_replace("props", '[{}" ]', ""), F.lit(":"), F.lit("="))
-    m = text.attrs(F.replace(flat, F.lit(","), F.lit(";")))
-    return table(spark, d, "events").select("event_id", F.get(F.get(F.map_values(m), 0), 0).alias("v"))
-
-
 @register("page_refs", "SELECT s_suppkey, array_to_string(list_concat(generate_series(s_suppkey, s_suppkey + s_suppkey % 4), [900]), ',') AS pages FROM supplier", views=False)
 def page_refs(spark, d):
     ref = F.concat(F.col("s_suppkey").cast("string"), F.lit("-"), (F.col("s_suppkey") + F.col("s_suppkey") % 4).cast("string"), F.lit("; 900"))
@@ -459,12 +424,6 @@ def digit_neighbours(spark, d):
     return n.groupBy("n").agg(F.count("*").alias("k"), F.sum("w").alias("total"))
 
 
-@register("expand_numbers", "SELECT 1 AS id, '1475,1537,1538,2240,2267,2709,2710,2711,2712,2713,2714,2715' AS numbers", views=False)
-def expand_numbers(spark, d):
-    rows = strings(spark, [(1, ["1475", "1537", "38", "2240", "67", "709-715"])], "id int, t array<string>")
-    return rows.select("id", F.array_join(F.transform(text.expand_numbers(F.col("t")), lambda x: x.cast("string")), ",").alias("numbers"))
-
-
 @register("continuation_groups", None)
 def continuation_groups(spark, d):
     lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
@@ -567,28 +526,6 @@ def heading_stack(spark, d):
     return parse.walk_headings(blocks, "root")
 
 
-@register("index_entry_parse", "SELECT id, name, numbers, details FROM (VALUES (1, 'Abbeville', '12,13', 'c. de Briey (Moselle, 1891)'), (2, 'Bure', '7-9', '')) t(id, name, numbers, details)", views=False)
-def index_entry_parse(spark, d):
-    rows = strings(spark, [(1, "Abbeville, c. de Briey (Moselle, 1891), 12, 13."), (2, "Bure, 7-9")], "id int, t string")
-    e = rows.select("id", parse.index_entry(F.col("t")).alias("e"))
-    return e.select("id", "e.name", F.array_join("e.numbers", ",").alias("numbers"), F.array_join("e.details", ";").alias("details"))
-
-
-@register("corrections_apply", "SELECT * FROM (VALUES (1, 'Aulnois'), (1, 'Bar'), (2, 'Dun')) t(row_id, text)", views=False)
-def corrections_apply(spark, d):
-    rows = strings(spark, [(1, "Aunois"), (1, "Cons"), (2, "Dun")], "row_id int, text string")
-    todo = strings(spark, [(1, 1, "replace", "Aun", "Auln"), (1, 2, "add", None, "Bar"), (1, 3, "delete", "Cons", None)], "row_id int, ord int, action string, old string, new string")
-    return reconcile.apply_corrections(rows, todo)
-
-
-@register("alignment_cost")
-def alignment_cost(spark, d):
-    from annalist.functions.fuzzy import number_cost
-
-    rows = table(spark, d, "supplier").select(F.translate(F.col("s_suppkey").cast("string"), "105", "lO3").alias("token"), F.col("s_suppkey").cast("bigint").alias("number"))
-    return rows.select("token", "number", F.round(number_cost(F.col("token"), F.col("number")), 6).alias("cost"))
-
-
 # --- reviews ----------------------------------------------------------------------------------
 
 

@@ -36,7 +36,7 @@ _ENTRIES = """
 _HOLDINGS = """
   SELECT DISTINCT concat('c', o_custkey) AS place, CASE l_returnflag WHEN 'A' THEN 'domain' WHEN 'N' THEN 'fief' ELSE 'clergy' END AS tenure,
     concat('h', l_suppkey % 50) AS holder, 1 AS num, 2 + l_linenumber AS den, o_orderkey AS via
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <= 3
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 VIEWS = {"edges": _EDGES, "points": _POINTS, "entries": _ENTRIES, "holdings": _HOLDINGS}
 SQL = "WITH RECURSIVE " + ", ".join(f"{k} AS ({v})" for k, v in VIEWS.items())
