@@ -23,14 +23,19 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def folder(spark) -> str:
-    """A new folder for files of one run, under the session's checkpoint folder."""
+    """A new folder for files of one run, under the session's checkpoint folder; it goes when the driver ends."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="annalist-")
-    return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+    out = f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{out}/data"
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

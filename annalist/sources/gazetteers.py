@@ -33,16 +33,24 @@ def seed_points(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("lat").isNotNull() & ~F.col("method").isin("approximate", "unlocated", "territory"))
 
 
+def kept(spark: SparkSession, path: str, make) -> DataFrame:
+    """The table at `path`, made and written by `make` where it is not there yet (A9, A11): a service is asked once."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 class Tile(InputPartition):
-    def __init__(self, south: float, west: float, size: float):
-        super().__init__((south, west, size))
+    """The arguments of one request."""
 
 
 class TiledSource(DataSource):
-    """A service asked tile by tile (A9, A11): one partition per tile of a box, rows from a function by import path.
+    """A service asked part by part (A9, A11): one partition for each request, rows from a function by import path.
 
-    Options: fetch ("module:function", called with south, west, size), box ("south,west,north,east"), size (degrees),
-    schema. Executors ask their own tiles; a lost one asks again.
+    Options: fetch ("module:function"), schema, and either box ("south,west,north,east") with size (degrees), for calls
+    (south, west, size), or prefixes ("0,1,2"), for calls (prefix), of ids by their first signs; retries (3) and wait
+    (seconds before the second try, doubled each time). Executors ask for their own parts; a lost one asks again.
     """
 
     @classmethod
@@ -61,13 +69,25 @@ class TiledReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self):
+        if "prefixes" in self.options:
+            return [Tile((p,)) for p in self.options["prefixes"].split(",")]
         south, west, north, east = map(float, self.options["box"].split(","))
         size = float(self.options.get("size", 0.5))
         rows, cols = max(1, -int(-(north - south) // size)), max(1, -int(-(east - west) // size))
-        return [Tile(south + i * size, west + j * size, size) for i in range(rows) for j in range(cols)]
+        return [Tile((south + i * size, west + j * size, size)) for i in range(rows) for j in range(cols)]
 
     def read(self, partition):
         from importlib import import_module
+        from time import sleep
 
         module, _, function = self.options["fetch"].partition(":")
-        yield from getattr(import_module(module), function)(*partition.value)
+        fetch, tries, wait = getattr(import_module(module), function), int(self.options.get("retries", 3)), float(self.options.get("wait", 1.0))
+        for k in range(tries + 1):
+            try:
+                rows = list(fetch(*partition.value))  # whole before any row goes on, so that a second try repeats none
+                break
+            except OSError:
+                if k == tries:
+                    raise
+                sleep(wait * 2**k)
+        yield from rows

@@ -72,6 +72,23 @@ def read_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, Dat
     return rows, issues
 
 
+def read_manual(spark: SparkSession, path: str, ddl: str, keys: list[str] | None = None) -> DataFrame:
+    """A hand-kept CSV by an explicit schema, empty if the file is missing (A5). With `keys`, one row for each key: two are an error."""
+    kind = T.StructType.fromDDL(ddl)
+    try:
+        rows = spark.read.schema(kind).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        rows = spark.createDataFrame([], kind)
+    if keys is None:
+        return rows
+    rest = [c for c in rows.columns if c not in keys]
+    one = rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(*rest)).alias("__r"))
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("repeated decision: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))).otherwise(F.col("__r"))
+    return one.select(*keys, checked.alias("__r")).select(*[c if c in keys else F.col(f"__r.{c}").alias(c) for c in rows.columns])
+
+
 def read_jsonl(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """JSON lines by an explicit schema (A2)."""
     return spark.read.schema(ddl).json(path)
