@@ -114,7 +114,8 @@ class Scratch:
     """Tables written in the shared folder that the session names in `spark.checkpoint.dir`.
 
     They cut lineage and outlive a lost executor. A local temporary folder serves only where the setting is absent
-    (tests). `drop` frees a table's space as soon as nothing reads it any more.
+    (tests). `drop` frees a table's space as soon as nothing reads it any more; what is left, as a result may still read
+    it, goes when the driver ends.
     """
 
     def __init__(self, spark: SparkSession):
@@ -125,6 +126,13 @@ class Scratch:
             if not spark.sparkContext.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         self.root = f"{root.rstrip('/')}/annalist-{uuid.uuid4().hex}"
+        path, fs = self._file("")
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+
+    def _file(self, name: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -137,9 +145,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        path, fs = self._file(name)
+        fs.delete(path, True)
 
 
 def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
