@@ -269,7 +269,7 @@ def read_book(classified: DataFrame, root: tuple[str, str, str] = ("duchy-root",
             elif b.what in does:
                 does[b.what](b)
         out += [{"pos": k, "row": "territory"} | {c: getattr(t, c) for c in _TERRITORY} for k, t in enumerate(state.known.values())]
-        made = pd.DataFrame(out, columns=columns)
+        made = pd.DataFrame(out, columns=columns, dtype=object)
         made["no"], made["level"] = made["no"].astype("Int64"), made["level"].astype("Int32")
         made.insert(0, "doc", pdf["doc"].iloc[0])
         return made

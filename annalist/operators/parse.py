@@ -1,4 +1,4 @@
-"""Parsing ordered text (H11-H17, K1, K2, A3): index lines, attributes, numbering and headings.
+"""Parsing ordered text (H6, H11-H13, K1, A3): index lines, old forms, second readings and numbering.
 
 What looks back over a whole document runs once per document (`applyInPandas`), documents in parallel; line-wise
 rules are Column expressions.
@@ -6,8 +6,6 @@ rules are Column expressions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,84 +113,3 @@ def merge_reading(first: Column, second: Column) -> Column:
     """A second reading of digits where the first has gaps ("2?17"), if both agree on every digit that was read."""
     agree = (F.length(first) == F.length(second)) & F.forall(F.sequence(F.lit(1), F.length(first)), lambda i: (F.substring(first, i, F.lit(1)) == F.substring(second, i, F.lit(1))) | ~F.substring(first, i, F.lit(1)).rlike("[0-9]"))
     return F.when(second.rlike("^[0-9]+$") & agree, second).otherwise(first)
-
-
-def first_match(text: Column, patterns: list[tuple[str, str]]) -> Column:
-    """The key of the first pattern that matches."""
-    out = None
-    for key, p in patterns:
-        c = text.rlike(p)
-        out = F.when(c, key) if out is None else out.when(c, key)
-    return out
-
-
-def all_matches(text: Column, patterns: list[tuple[str, str]]) -> Column:
-    """The keys of all patterns that match, in order."""
-    return F.array_compact(F.array(*[F.when(text.rlike(p), key) for key, p in patterns]))
-
-
-@dataclass
-class Walk:
-    """The state of a document's headings: divisions by level, the open realm, section and series."""
-
-    root: str
-    stack: list[tuple[int, str]] = field(default_factory=list)
-    realm: str | None = None
-    section: str | None = None
-    series: str | None = None
-    closing: str | None = None
-
-    def heading(self, hierarchy: str, level: int, key: str) -> dict:
-        """Opens a division or realm; what it lies in."""
-        if hierarchy == "feudal" and self.stack:
-            self.realm = key
-            return {"parent": self.root, "ressort": self.stack[-1][1]}
-        self.stack = [x for x in self.stack if x[0] < level]
-        parent = self.stack[-1][1] if self.stack else self.root
-        self.stack.append((level, key))
-        if level <= 2:
-            self.realm = self.section = None
-        return {"parent": parent, "ressort": None}
-
-    def open_section(self, section: str) -> None:
-        self.section = section
-        if section in ("clergy", "fief"):
-            self.stack = [x for x in self.stack if x[0] <= 2]
-
-    def entry(self) -> dict:
-        out = {"district": self.stack[-1][1] if self.stack else None, "realm": self.realm, "section": self.section or "other", "series": self.series}
-        if self.closing:
-            self.stack = [x for x in self.stack if x[1] != self.closing]
-            self.closing = None
-        return out
-
-
-def walk_headings(blocks: DataFrame, root: str) -> DataFrame:
-    """(doc, pos, kind, key, parent, ressort, district, realm, section, series) for every block in order (K2).
-
-    blocks: (doc, pos, kind, key, hierarchy, level): kind is entry, heading, section, series, outside, or last (the next
-    entry closes the heading `key`).
-    """
-    doc_kind = blocks.schema["doc"].dataType.simpleString()
-    columns = ["parent", "ressort", "district", "realm", "section", "series"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, out = Walk(root), []
-        for r in pdf.sort_values("pos").itertuples(index=False):
-            got: dict = {}
-            if r.kind == "heading":
-                got = w.heading(r.hierarchy, int(r.level), r.key)
-            elif r.kind == "section":
-                w.open_section(r.key)
-            elif r.kind == "series":
-                w.series = r.key
-            elif r.kind == "outside":
-                w.stack = []
-            elif r.kind == "last":
-                w.closing = r.key
-            else:
-                got = w.entry()
-            out.append((r.doc, r.pos, r.kind, r.key, *(got.get(c) for c in columns)))
-        return pd.DataFrame(out, columns=["doc", "pos", "kind", "key", *columns])
-
-    return blocks.groupBy("doc").applyInPandas(run, f"doc {doc_kind}, pos bigint, kind string, key string, " + ", ".join(f"{c} string" for c in columns))

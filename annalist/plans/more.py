@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from annalist.functions import fuzzy, rules, text
-from annalist.operators import aggregate, geocode, match, ordered, parse, records, reconcile, review, spatial, validate
+from annalist.operators import aggregate, geocode, headings, match, ordered, parse, records, reconcile, review, slots, spatial, validate
 from annalist.operators.lineage import folder
 from annalist.plans import query
-from annalist.plans.registry import ORACLES, QUERIES, register, strings  # noqa: F401
+from annalist.plans.registry import ORACLES, QUERIES, _names, register, strings  # noqa: F401
 from annalist.plans.views import table, view
 from annalist.sources import gazetteers, tables
 
@@ -503,6 +503,27 @@ def alignment_cost(spark, d):
     return rows.select("token", "number", F.round(fuzzy.number_cost(F.col("token"), F.col("number")), 6).alias("cost"))
 
 
+# --- books in order ------------------------------------------------------------------------------------------------
+
+
+@register("heading_stack", "SELECT conv_id AS doc, turn AS pos, turn AS no, CASE turn % 6 WHEN 3 THEN 'provostship-y' || (turn - 2) WHEN 5 THEN 'ban-z' || (turn - 1) END AS district, CASE turn % 6 WHEN 3 THEN NULL WHEN 5 THEN NULL END::VARCHAR AS realm, CASE WHEN turn >= 3 THEN 'domain' ELSE 'other' END AS section, 'main' AS series FROM conversations WHERE turn % 6 IN (3, 5)", views=False)
+def heading_stack(spark, d):
+    """Every conversation as a book: a bailiwick, a provostship, its domain, an entry, a ban, an entry, and so on."""
+    k, t = F.col("turn") % 6, F.col("turn").cast("string")
+    line = F.get(F.array(F.concat(F.lit("Bailliage de X"), t, F.lit(".")), F.concat(F.lit("Prévosté de Y"), t, F.lit(".")), F.lit("Domaine."), F.lit("A, village"), F.concat(F.lit("Ban de Z"), t, F.lit(".")), F.lit("B, hameau")), k.cast("int"))
+    blocks = table(spark, d, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("pos"), F.lit("main").alias("part"), line.alias("text"), F.when(k.isin(3, 5), F.col("turn")).alias("no"))
+    return headings.read_book(headings.classify_blocks(blocks)).where("row = 'entry'").select("doc", "pos", "no", "district", "realm", "section", "series")
+
+
+@register("slot_resolution")
+def slot_resolution(spark, d):
+    """The numbers of the damaged index, with the matcher's own claims."""
+    entries, index = _names(spark, d)
+    claims = match.match_ladder(entries, index).where("row_id IS NOT NULL").select("row_id", "no")
+    printed = index.select("row_id", "name", F.transform("numbers", lambda n: n.cast("string")).alias("tokens"), "numbers")
+    return slots.resolve_slots(printed, entries, claims).select("row_id", "printed", "no", "status", F.round("sim", 6).alias("sim"), "note")
+
+
 # --- the rule catalogue ------------------------------------------------------------------------------------------
 
 

@@ -518,14 +518,6 @@ def beam_numbering(spark, d):
     return parse.number_lines(c.select("conv_id", "turn", tok.alias("token")), "conv_id", "turn", "token", 40)
 
 
-@register("heading_stack")
-def heading_stack(spark, d):
-    c = table(spark, d, "conversations")
-    kind = F.when(F.col("turn") % 4 == 0, "heading").when(F.col("turn") % 4 == 1, "section").otherwise("entry")
-    blocks = c.select(F.col("conv_id").alias("doc"), F.col("turn").alias("pos"), kind.alias("kind"), F.when(kind == "section", "clergy").otherwise(F.concat(F.lit("k"), F.col("turn").cast("string"))).alias("key"), F.when(F.col("turn") % 8 == 4, "feudal").otherwise("admin").alias("hierarchy"), (F.col("turn") % 3 + 1).cast("int").alias("level"))
-    return parse.walk_headings(blocks, "root")
-
-
 # --- reviews ----------------------------------------------------------------------------------
 
 

@@ -110,11 +110,6 @@ def test_parsers(spark):
     assert (a.name, a.numbers, a.details) == ("Abbeville", ["12", "13"], ["c. de Briey (Moselle, 1891)"]) and b.xref == "Tressange"
     toks = spark.createDataFrame([("1546. Kelter",), ("Item le",), ("221S Ranschborn.",), ("ab. cd",)], "t string")
     assert [r[0] for r in toks.select(parse.leading_token(F.col("t"))).collect()] == ["1546", None, "221S", "ab"]
-    w = parse.Walk("root")
-    assert w.heading("admin", 1, "b") == {"parent": "root", "ressort": None} and w.heading("admin", 2, "p")["parent"] == "b"
-    assert w.heading("feudal", 2, "r") == {"parent": "root", "ressort": "p"}
-    w.open_section("clergy")
-    assert w.entry() == {"district": "p", "realm": "r", "section": "clergy", "series": None}
 
 
 ITEMS = "id string, lat double, lon double, key string, rank double"
