@@ -29,12 +29,14 @@ def _cells(points: DataFrame, radius_km: float, max_lat: float, spread: bool) ->
     return points.withColumn("cell", F.explode(near)).withColumn("cell_row", F.col("cell.r")).withColumn("cell_col", F.col("cell.c")).drop("cell")
 
 
-def radius_join(a: DataFrame, b: DataFrame, radius_km: float, max_lat: float = 60.0) -> DataFrame:
-    """(a_id, b_id, km) for all pairs within `radius_km` (C22); latitudes up to `max_lat`."""
-    x = _cells(a.select("id", "lat", "lon"), radius_km, max_lat, False).withColumnsRenamed({"id": "a_id", "lat": "a_lat", "lon": "a_lon"})
-    y = _cells(b.select("id", "lat", "lon"), radius_km, max_lat, True).withColumnsRenamed({"id": "b_id", "lat": "b_lat", "lon": "b_lon"})
+def radius_join(a: DataFrame, b: DataFrame, radius_km: float, max_lat: float = 60.0, carry_a: dict[str, str] | None = None, carry_b: dict[str, str] | None = None) -> DataFrame:
+    """(a_id, b_id, km) for all pairs within `radius_km` (C22); latitudes up to `max_lat`. Other columns come along by {name: new name}."""
+    carry_a, carry_b = carry_a or {}, carry_b or {}
+    x = _cells(a.select("id", "lat", "lon", *carry_a), radius_km, max_lat, False).withColumnsRenamed({"id": "a_id", "lat": "a_lat", "lon": "a_lon"} | carry_a)
+    y = _cells(b.select("id", "lat", "lon", *carry_b), radius_km, max_lat, True).withColumnsRenamed({"id": "b_id", "lat": "b_lat", "lon": "b_lon"} | carry_b)
     both = x.join(y, ["cell_row", "cell_col"])
-    return both.withColumn("km", haversine_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))).where(F.col("km") <= radius_km).select("a_id", "b_id", "km")
+    near = both.withColumn("km", haversine_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))).where(F.col("km") <= radius_km)
+    return near.select("a_id", "b_id", "km", *carry_a.values(), *carry_b.values())
 
 
 def nearest(a: DataFrame, b: DataFrame, radius_km: float, k: int = 1) -> DataFrame:
@@ -87,8 +89,7 @@ def best_near(places: DataFrame, items: DataFrame, similarity, radius_km: float,
     it runs on pairs within the radius whose edit distance allows `cutoff`, a number or a Column over a_key. `exclude`:
     (place_id, item_id) pairs not to take.
     """
-    pairs = radius_join(places, items, radius_km)
-    pairs = pairs.join(places.select(F.col("id").alias("a_id"), F.col("key").alias("a_key")), "a_id").join(items.select(F.col("id").alias("b_id"), F.col("key").alias("b_key"), "rank"), "b_id")
+    pairs = radius_join(places, items, radius_km, carry_a={"key": "a_key"}, carry_b={"key": "b_key", "rank": "rank"})
     least = F.lit(cutoff) if isinstance(cutoff, float) else cutoff
     pairs = pairs.where(F.levenshtein("a_key", "b_key") <= F.floor((1 - least) * (F.length("a_key") + F.length("b_key")) + 1e-9))
     if exclude is not None:
