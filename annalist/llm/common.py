@@ -149,23 +149,28 @@ class Scratch:
         fs.delete(path, True)
 
 
+def files_for(rows: int) -> int:
+    """How many files to write so many small rows to: few for a small table, however many partitions a session shuffles to."""
+    return max(8, rows // 50_000)
+
+
 def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b): root is the smallest node reachable.
 
     Alternating large-star and small-star rounds: each keeps connectivity, moves links to smaller nodes, and ends
     with stars, in rounds that grow with the logarithm of the nodes. A hub's links are only min-aggregated and
-    joined, never collected, and each round is written out and the one before dropped.
+    joined, never collected, and each round is written out and the one before dropped. Their number stays in proportion.
     """
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = scratch.save(e, "cc-0")
-    before = None
+    before, files = None, files_for(e.count())
     for k in range(1, max_rounds + 1):
         both = e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "u")
         large = both.join(low, both.a == low.u).where("b > u").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low2 = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         small = large.join(low2, large.a == low2.u).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-        e2 = scratch.save(small.select("x.*").where("a <> b").distinct(), f"cc-{k}")
+        e2 = scratch.save(small.select("x.*").where("a <> b").distinct().coalesce(files), f"cc-{k}")
         now = e2.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).cast("string")).first()
         scratch.drop(f"cc-{k - 1}")
         e = e2

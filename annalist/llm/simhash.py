@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annalist.llm.common import Scratch, components, fresh, table
+from annalist.llm.common import Scratch, components, files_for, fresh, table
 
 RADIUS = 4
 SHINGLE = 4
@@ -229,7 +229,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     links = fingerprint_links(spark, first.select("fp"), scratch)
     roots = components(spark, links, scratch)
     named = first.join(roots, first.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = scratch.save(named, "named")
+    named = scratch.save(named.coalesce(files_for(first.count())), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
     by_fp = named.join(least, named.root == least.r).select(F.col("fp").alias("f"), "component_id")
     return own.join(by_fp, own.fp == by_fp.f).select("doc_id", "fp", "component_id", *([key] if key else []))
