@@ -64,14 +64,27 @@ def review_placements(places: DataFrame, hits: DataFrame, reviewed: DataFrame |
     return out if reviewed is None else out.join(reviewed.select("id"), "id", "left_anti")
 
 
+#: Fixed value: the least letters of a key that a near one may stand for.
+NEAR_LETTERS = 7
+
+
 def modern_names(seats: DataFrame, gazetteer: DataFrame, cutoff: float = 0.85) -> DataFrame:
-    """(seat, modern): the gazetteer's name of equal slug, else of equal loose key, else the closest of the same initial letter (C35). gazetteer: (old, modern)."""
+    """(seat, modern): the gazetteer's name of equal slug, else of equal loose key, else, for keys of seven letters or more, the
+    closest of the same initial letter (C35). gazetteer: (old, modern).
+
+    A seat of several places ("A et B") is put part by part; a part that is not found stays as it is. Null if none is.
+    """
     g = gazetteer.groupBy(text.slug(F.col("old")).alias("s")).agg(F.min("modern").alias("by_slug"))
     loose = gazetteer.groupBy(text.name_key(F.col("old")).alias("key")).agg(F.min("modern").alias("by_key"))
-    own = seats.select("seat", text.slug(F.col("seat")).alias("s"), text.name_key(F.col("seat")).alias("q"))
-    near = match.closest(own, loose, cutoff, block=1).select("q", F.col("key").alias("near"))
-    out = own.join(g, "s", "left").join(near, "q", "left").join(loose, F.col("near") == F.col("key"), "left")
-    return out.select("seat", F.coalesce("by_slug", "by_key").alias("modern"))
+    parts = seats.select("seat").distinct().select("seat", F.posexplode(F.split("seat", r"\s+et\s+")).alias("pos", "part"))
+    own = parts.select("part").distinct().select("part", text.slug(F.col("part")).alias("s"), text.name_key(F.col("part")).alias("q"))
+    near = match.closest(own.where(F.length("q") >= NEAR_LETTERS), loose, cutoff, block=1).select("q", F.col("key").alias("near"))
+    exact = loose.select(F.col("key").alias("x_key"), F.col("by_key").alias("by_exact"))
+    out = own.join(g, "s", "left").join(exact, F.col("q") == F.col("x_key"), "left").join(near, "q", "left").join(loose, F.col("near") == F.col("key"), "left")
+    named = out.select("part", F.coalesce("by_slug", "by_exact", "by_key").alias("modern"))
+    whole = parts.join(named, "part", "left").groupBy("seat").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("modern", text.fix_name(F.col("part"))).alias("m")))).alias("x"), F.bool_or(F.col("modern").isNotNull()).alias("found"))
+    known = whole.select(F.col("seat").alias("w_seat"), F.when(F.col("found"), F.array_join(F.transform("x", lambda p: p["m"]), " et ")).alias("modern"))
+    return seats.join(known, F.col("seat") == F.col("w_seat"), "left").select("seat", "modern")
 
 
 def canonical_spellings(mentions: DataFrame, cutoff: float = 0.8) -> DataFrame:

@@ -26,6 +26,8 @@ def test_names(spark):
     seats = spark.createDataFrame([("Nancy",), ("Blamontt",), ("Zzz",)], "seat string")
     gaz = spark.createDataFrame([("nancy", "Nancy!"), ("Blamont", "Blâmont")], "old string, modern string")
     assert {r.seat: r.modern for r in review.modern_names(seats, gaz).collect()} == {"Nancy": "Nancy!", "Blamontt": "Blâmont", "Zzz": None}
+    pairs = spark.createDataFrame([("Nancy et Blamontt",), ("Nancy et Zzz",), ("Xxx et Zzz",), ("Blamon",)], "seat string")
+    assert {r.seat: r.modern for r in review.modern_names(pairs, gaz).collect()} == {"Nancy et Blamontt": "Nancy! et Blâmont", "Nancy et Zzz": "Nancy! et Zzz", "Xxx et Zzz": None, "Blamon": None}
     m = spark.createDataFrame([("Blamont", 2), ("Blamont", 1), ("Blamond", 1), ("Nancy", 1)], "name string, weight int")
     assert {r.name: r.canonical for r in review.canonical_spellings(m).collect()} == {"Blamont": "Blamont", "Blamond": "Blamont", "Nancy": "Nancy"}
     k = spark.createDataFrame([("Charmes-sur-Moselle", ["Charmes", "Zorn"])], "n string, v array<string>").select(review.weighted_keys(F.col("n"), F.col("v")).alias("k")).first().k
