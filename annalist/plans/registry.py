@@ -472,7 +472,30 @@ def _names(spark, d):
     return p, index
 
 
-@register("qgram_candidates")
+def _spelling_sql(name: str) -> str:
+    """`text.spelling_key` and `text.coarse` in SQL, for names without articles, old spellings and old endings; runs of up to eight letters."""
+    key = f"replace(replace(replace(regexp_replace(lower({name}), '[^a-z]', '', 'g'), 'y', 'i'), 'cq', 'c'), 'ck', 'c')"
+    for _ in range(3):
+        for c in "abcdefghijklmnopqrstuvwxyz":
+            key = f"replace({key}, '{c}{c}', '{c}')"
+    return f"regexp_replace({key}, '[sxz]$', '')"
+
+
+def _coarse_sql(key: str) -> str:
+    for a, b in text.COARSE_GROUPS:
+        key = f"replace({key}, '{a}', '{b}')"
+    return f"translate({key}, '{text.COARSE_FROM}', '{text.COARSE_TO}')"
+
+
+_NAMES_SQL = "p AS (SELECT p_partkey AS no, p_name || ' ' || translate(p_partkey::VARCHAR, '0123456789', 'abdfghikmn') AS name FROM part), x AS (SELECT CASE WHEN no % 3 = 0 THEN replace(name, 'a', 'o') ELSE translate(name, 'el', 'ct') END AS name FROM p)"
+_PAIRS_OF = "SELECT DISTINCT k, substr(c, u.i, 2) AS g FROM {t}, LATERAL (SELECT unnest(generate_series(1, length(c) - 1)) AS i) u"
+
+
+@register(
+    "qgram_candidates",
+    f"WITH {_NAMES_SQL}, qk AS (SELECT DISTINCT {_spelling_sql('name')} AS k FROM p), kk AS (SELECT DISTINCT {_spelling_sql('name')} AS k FROM x), q AS (SELECT k, {_coarse_sql('k')} AS c FROM qk), y AS (SELECT k, {_coarse_sql('k')} AS c FROM kk), qg AS ({_PAIRS_OF.format(t='q')}), yg AS ({_PAIRS_OF.format(t='y')}), need AS (SELECT k, greatest(1, floor(0.4 * count(*))) AS need FROM qg GROUP BY k) SELECT qg.k AS q, yg.k AS key, count(*)::BIGINT AS n FROM qg JOIN yg ON qg.g = yg.g JOIN need ON need.k = qg.k GROUP BY qg.k, yg.k, need HAVING count(*) >= need",
+    views=False,
+)
 def qgram_candidates(spark, d):
     p, index = _names(spark, d)
     return match.qgram_candidates(p.select(text.spelling_key(F.col("name")).alias("q")), index.select(text.spelling_key(F.col("name")).alias("key")))
