@@ -200,12 +200,12 @@ def navigation_target(spark, d):
     SELECT p.id, (SELECT string_agg(source || '=' || x, ';' ORDER BY source) FROM s WHERE s.place = p.id) AS spellings,
       (SELECT count(*) FROM e WHERE e.place = p.id)::BIGINT AS n_entries, (SELECT count(*) FROM e JOIN e o ON e.no = o.no AND o.place <> e.place WHERE e.place = p.id)::BIGINT AS n_others,
       (SELECT string_agg(tenure || ':' || holder, ',' ORDER BY tenure, holder) FROM (SELECT DISTINCT tenure, holder FROM holdings h WHERE h.place = p.id)) AS holdings, NULL::VARCHAR AS members
-    FROM points p WHERE p.id LIKE 'c%'
+    FROM points p
     UNION ALL SELECT 'n' || n_nationkey, NULL, 0, 0, NULL, (SELECT string_agg(child, ',' ORDER BY f IS NULL, f, child) FROM (SELECT DISTINCT child FROM edges WHERE parent = 'n' || n_nationkey) m LEFT JOIN f ON f.place = m.child) FROM nation""",
 )
 def place_records(spark, d):
     e = view(spark, d, "entries")
-    places = view(spark, d, "points").where("id LIKE 'c%'").select("id", F.col("id").alias("name")).unionAll(table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), "n_name"))
+    places = view(spark, d, "points").select("id", F.col("id").alias("name")).unionAll(table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), "n_name"))
     out = records.place_records(places, e.select("place", F.col("section").alias("source"), F.col("district").alias("spelling")), e.select((F.col("no") % 500).alias("no"), "place").distinct(), view(spark, d, "holdings"), view(spark, d, "edges"))
     said = F.array_join(F.transform(F.map_entries("spellings"), lambda s: F.concat(s["key"], F.lit("="), F.array_join(s["value"], "+"))), ";")
     n_others = F.aggregate("entries", F.lit(0).cast("bigint"), lambda a, s: a + F.size(s["others"]))
@@ -402,12 +402,11 @@ def display_name(spark, d):
     return table(spark, d, "part").select("p_partkey", text.display_name(printed).alias("shown"))
 
 
-@register("expand_numbers", "SELECT s_suppkey, array_to_string(list_concat([1100 + s_suppkey, CASE WHEN (1103 + s_suppkey) % 100 > s_suppkey % 100 THEN 1100 + s_suppkey - s_suppkey % 100 + (1103 + s_suppkey) % 100 ELSE 1200 + s_suppkey - s_suppkey % 100 + (1103 + s_suppkey) % 100 END], generate_series(5000 + s_suppkey, 5002 + s_suppkey)), ',') AS numbers FROM supplier WHERE (1103 + s_suppkey) % 100 >= 10", views=False)
+@register("expand_numbers", "WITH t AS (SELECT s_suppkey AS s, 1100 + s_suppkey AS p, (1103 + s_suppkey) % 100 AS r FROM supplier), v AS (SELECT *, CASE WHEN r >= 10 THEN p - p % 100 + r ELSE p - p % 10 + r END AS v, CASE WHEN r >= 10 THEN 100 ELSE 10 END AS step FROM t) SELECT s AS s_suppkey, array_to_string(list_concat([p, CASE WHEN v > p THEN v ELSE v + step END], generate_series(5000 + s, 5002 + s)), ',') AS numbers FROM v", views=False)
 def expand_numbers(spark, d):
     s = F.col("s_suppkey")
     tokens = F.array((s + 1100).cast("string"), F.lpad(((s + 1103) % 100).cast("string"), 2, "0"), F.concat((s + 5000).cast("string"), F.lit("-"), (s + 5002).cast("string")))
-    rows = table(spark, d, "supplier").where((s + 1103) % 100 >= 10)
-    return rows.select("s_suppkey", F.array_join(F.transform(text.expand_numbers(tokens), lambda x: x.cast("string")), ",").alias("numbers"))
+    return table(spark, d, "supplier").select("s_suppkey", F.array_join(F.transform(text.expand_numbers(tokens), lambda x: x.cast("string")), ",").alias("numbers"))
 
 
 @register("index_entry_parse", "SELECT p_partkey, p_name AS name, p_partkey || ',' || (p_partkey + 1) || '-' || (p_partkey + 3) AS numbers, 'c. de X (Meuse, 1891)' AS details, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS xref FROM part", views=False)
@@ -491,10 +490,10 @@ def ramp_colours(spark, d):
     return table(spark, d, "nation").select("n_nationkey", text.ramp_colour(F.col("n_nationkey") / 24.0, (255, 0, 0), (0, 255, 0)).alias("colour"))
 
 
-@register("loose_numbers", "WITH RECURSIVE n AS (SELECT DISTINCT s_suppkey AS n, s_suppkey::VARCHAR AS s FROM supplier WHERE s_suppkey < 30), m AS (SELECT unnest(generate_series(1, 999)) AS m), p AS (SELECT n, s, m, m::VARCHAR AS t FROM n, m), c AS (SELECT unnest(['35','14','17','56','68','38','69','05','09','06','89']) AS q), cc AS (SELECT q AS ab FROM c UNION ALL SELECT q[2] || q[1] FROM c), w(n, m, s, t, i, j, cost) AS (SELECT n, m, s, t, 0, 0, 0 FROM p UNION SELECT n, m, s, t, i + di, j + dj, cost + CASE WHEN di + dj = 1 THEN 70 WHEN s[i + 1] = t[j + 1] THEN 0 WHEN (s[i + 1] || t[j + 1]) IN (SELECT ab FROM cc) THEN 30 ELSE 100 END FROM w, (VALUES (0, 1), (1, 0), (1, 1)) d(di, dj) WHERE i + di <= length(s) AND j + dj <= length(t) AND cost + CASE WHEN di + dj = 1 THEN 70 WHEN s[i + 1] = t[j + 1] THEN 0 WHEN (s[i + 1] || t[j + 1]) IN (SELECT ab FROM cc) THEN 30 ELSE 100 END <= 100) SELECT DISTINCT n, m FROM w WHERE i = length(s) AND j = length(t)", views=False)
+@register("loose_numbers", "WITH RECURSIVE n AS (SELECT DISTINCT s_suppkey AS n, s_suppkey::VARCHAR AS s FROM supplier), m AS (SELECT unnest(generate_series(1, (SELECT max(s_suppkey) FROM supplier) * 10 + 9)) AS m), p AS (SELECT n, s, m, m::VARCHAR AS t FROM n, m), c AS (SELECT unnest(['35','14','17','56','68','38','69','05','09','06','89']) AS q), cc AS (SELECT q AS ab FROM c UNION ALL SELECT q[2] || q[1] FROM c), w(n, m, s, t, i, j, cost) AS (SELECT n, m, s, t, 0, 0, 0 FROM p UNION SELECT n, m, s, t, i + di, j + dj, cost + CASE WHEN di + dj = 1 THEN 70 WHEN s[i + 1] = t[j + 1] THEN 0 WHEN (s[i + 1] || t[j + 1]) IN (SELECT ab FROM cc) THEN 30 ELSE 100 END FROM w, (VALUES (0, 1), (1, 0), (1, 1)) d(di, dj) WHERE i + di <= length(s) AND j + dj <= length(t) AND cost + CASE WHEN di + dj = 1 THEN 70 WHEN s[i + 1] = t[j + 1] THEN 0 WHEN (s[i + 1] || t[j + 1]) IN (SELECT ab FROM cc) THEN 30 ELSE 100 END <= 100) SELECT DISTINCT n, m FROM w WHERE i = length(s) AND j = length(t)", views=False)
 def loose_numbers(spark, d):
-    n = table(spark, d, "supplier").where("s_suppkey < 30").select(F.col("s_suppkey").cast("bigint").alias("n")).distinct()
-    return n.select("n", F.explode(text.loose_numbers(F.col("n"))).alias("m")).where("m < 1000")
+    n = table(spark, d, "supplier").select(F.col("s_suppkey").cast("bigint").alias("n")).distinct()
+    return n.select("n", F.explode(text.loose_numbers(F.col("n"))).alias("m"))
 
 
 @register("alignment_cost", "WITH RECURSIVE p AS (SELECT translate(s_suppkey::VARCHAR, '105', 'lO3') AS t, s_suppkey AS number, s_suppkey::VARCHAR AS s FROM supplier), w(number, s, t, i, j, cost) AS (SELECT number, s, t, 0, 0, 0 FROM p UNION SELECT number, s, t, i + di, j + dj, cost + CASE WHEN di + dj = 1 THEN 70 WHEN t[j + 1] = s[i + 1] THEN 0 WHEN t[j + 1] = 'l' THEN CASE s[i + 1] WHEN '1' THEN 20 WHEN '4' THEN 50 WHEN '7' THEN 50 ELSE 100 END WHEN t[j + 1] = 'O' THEN CASE WHEN s[i + 1] = '0' THEN 20 WHEN s[i + 1] IN ('5', '9', '6') THEN 50 ELSE 100 END WHEN (t[j + 1] || s[i + 1]) IN ('35','53','14','41','17','71','56','65','68','86','38','83','69','96','05','50','09','90','06','60','89','98') THEN 30 ELSE 100 END FROM w, (VALUES (0, 1), (1, 0), (1, 1)) d(di, dj) WHERE i + di <= length(s) AND j + dj <= length(t)) SELECT t AS token, number, round(min(cost) / 100.0, 6) AS cost FROM w WHERE i = length(s) AND j = length(t) GROUP BY t, number", views=False)

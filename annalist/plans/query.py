@@ -157,7 +157,10 @@ def compact_json(rows: DataFrame) -> DataFrame:
 def version(files: DataFrame) -> DataFrame:
     """(version): the first 12 hexadecimal digits of the SHA-256 over the files' contents in order of their names.
 
-    files: (name, content), the few compiled files of one release.
+    files: (name, content), the few compiled files of one release; any other table counts as one file, its rows as JSON in order.
     """
+    if set(files.columns) != {"name", "content"}:
+        lines = files.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in files.columns])).alias("line"))
+        files = lines.agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("content")).select(F.lit("table").alias("name"), "content")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", F.coalesce("content", F.lit("")).alias("content")))), lambda x: x["content"]), "")
     return files.agg(F.substring(F.sha2(joined, 256), 1, 12).alias("version"))
