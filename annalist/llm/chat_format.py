@@ -58,9 +58,11 @@ def format_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn
         F.coalesce(F.col(role), F.lit("")).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    rows = rows.withColumn("block", F.floor(F.col("turn") / BLOCK)).select(
-        "conv_id", "block", F.struct("turn", escape(F.col("role")).alias("role"), escape(F.col("text")).alias("text")).alias("t")
-    )
+    rows = rows.select("conv_id", F.struct("turn", escape(F.col("role")).alias("role"), escape(F.col("text")).alias("text")).alias("t"))
+    # rows without a turn stand in the order of role and text, so they are cut by these
+    unnumbered = lambda c: F.when(F.col("t.turn").isNull(), c)
+    block = F.struct(F.floor(F.col("t.turn") / BLOCK).alias("n"), unnumbered(F.col("t.role")).alias("role"), unnumbered(F.substring("t.text", 1, 2)).alias("head"))
+    rows = rows.select("conv_id", block.alias("block"), "t")
     turns = "array<struct<role:string,texts:array<string>>>"
     blocks = rows.groupBy("conv_id", "block").agg(F.sort_array(F.collect_list("t")).alias("ts")).select(
         "conv_id",

@@ -123,7 +123,10 @@ def test_chat_of_many_turns(spark):
     from annalist.llm import chat_format
 
     rows = [(1, k, ("user", "assistant", "assistant")[k % 3], f"t{k} </s>", 1, 2) for k in range(3000)] + [(2, None, "user", "b", 1, 2), (2, None, "user", "a", 1, 2), (None, 1, None, None, 1, 2)]
+    rows += [(3, None, ("user", "assistant")[k % 2], f"{'abc'[k % 3]}\\{k:03d}", 1, 2) for k in range(200)] + [(3, 0, "user", "first with a turn", 1, 2)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted int, n_turns int")
     out = {r.conv_id: r for r in chat_format.format_conversations(df).select("conv_id", "n_turns", chat_format.parse_formatted(chat_format.F.col("formatted")).alias("t")).collect()}
     assert out[1].n_turns == 3000 and [(x.role, x.text) for x in out[1].t] == [(r[2], r[3]) for r in rows[:3000]]
+    bare = sorted((r[2], r[3]) for r in rows if r[0] == 3 and r[1] is None)
+    assert [(x.role, x.text) for x in out[3].t] == [*bare, ("user", "first with a turn")]
     assert [x.text for x in out[2].t] == ["a", "b"] and [(x.role, x.text) for x in out[None].t] == [("", "")]
