@@ -95,7 +95,7 @@ def split_fields(text: Column) -> Column:
 def index_entry(text: Column) -> Column:
     """An index line as struct<name, numbers array<string>, details array<string>, xref>."""
     fields = split_fields(text)
-    numeric = lambda s: F.regexp_replace(s, r"^[ .*'’]+|[ .*'’]+$", "").rlike(r"^[0-9]{1,5}(-[0-9]{1,5})?$")
+    numeric = lambda s: F.regexp_replace(s, r"^[ .*'’]+|[ .*'’]+$", "").rlike(r"^[0-9]+(-[0-9]+)?$")
     numbers = F.transform(F.filter(fields, lambda s, i: (i > 0) & numeric(s)), lambda s: F.regexp_replace(s, r"[^0-9-]", ""))
     details = F.filter(fields, lambda s, i: (i > 0) & ~numeric(s))
     xref = F.regexp_extract(text, r"(?i)\b(?:v\.|voir|voy\.)\s+(.+?)\s*\.?\s*$", 1)

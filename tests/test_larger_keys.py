@@ -31,3 +31,8 @@ def wide(spark, tmp_path_factory):
 def test_candidate_numbers_reads_up_to_three_digits_as_its_sql(spark, wide):
     got, want = same_as_sql(spark, wide, "candidate_numbers")
     assert got == want and "(334, 554)" in got
+
+
+def test_index_entry_parse_takes_numbers_of_six_digits(spark, wide):
+    got, want = same_as_sql(spark, wide, "index_entry_parse")
+    assert got == want
