@@ -36,3 +36,8 @@ def test_candidate_numbers_reads_up_to_three_digits_as_its_sql(spark, wide):
 def test_index_entry_parse_takes_numbers_of_six_digits(spark, wide):
     got, want = same_as_sql(spark, wide, "index_entry_parse")
     assert got == want
+
+
+def test_second_reading_of_numbers_that_begin_with_nine(spark, wide):
+    got, want = same_as_sql(spark, wide, "second_reading")
+    assert got == want and "(8002, '9?02')" in got
