@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annalist.operators import ordered
+from annalist.operators.lineage import parts_of
 
 
 def upper_median(c: Column) -> Column:
@@ -37,8 +38,8 @@ def rational_sum(num: str, den: str) -> tuple[Column, Column]:
 
 
 def share_overflow(holdings: DataFrame, place: str = "place", num: str = "num", den: str = "den") -> DataFrame:
-    """(place, n_shares): places whose shares sum to more than 1."""
-    by_den = holdings.groupBy(place, den).agg(F.sum(num).alias(num), F.count("*").alias("k"))
+    """(place, n_shares): places whose shares sum to more than 1. Dealt out by place once, for both steps."""
+    by_den = holdings.select(place, num, den).repartition(parts_of(holdings), place).groupBy(place, den).agg(F.sum(num).alias(num), F.count("*").alias("k"))
     n, d = rational_sum(num, den)
     return by_den.groupBy(place).agg(n.alias("n"), d.alias("d"), F.sum("k").alias("n_shares")).where("n > d").select(place, "n_shares")
 
