@@ -59,3 +59,13 @@ def test_cells_and_label_points_of_copies(spark):
     assert got == {k: one[spots[k % 3][0]] for k in range(24) if k % 4}
     labels = {r.id: (r.x, r.y) for r in spatial.label_points_of(cells).collect()}
     assert labels == {k: spatial.label_point([[ring]]) for k, (_, ring) in got.items()}
+
+
+@pytest.mark.parametrize("name, stage", [("heading_rules", "p_partkey"), ("loose_numbers", "n")])
+def test_heavy_expressions_over_small_files_use_every_core(spark, tmp_path, name, stage):
+    import __spark_entry__
+
+    spark.createDataFrame([(k, "red ring") for k in range(1, 30)], "p_partkey long, p_name string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(k,) for k in range(1, 30)], "s_suppkey long").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    df = __spark_entry__.queries()[name](spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() >= 4 and df.select(stage).distinct().count() == 29
