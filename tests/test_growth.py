@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from annalist.operators import lineage, spatial
+from annalist.operators import lineage, reconcile, records, spatial
 from annalist.plans import views
 
 
@@ -69,3 +69,15 @@ def test_heavy_expressions_over_small_files_use_every_core(spark, tmp_path, name
     spark.createDataFrame([(k,) for k in range(1, 30)], "s_suppkey long").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
     df = __spark_entry__.queries()[name](spark, str(tmp_path))
     assert df.rdd.getNumPartitions() >= 4 and df.select(stage).distinct().count() == 29
+
+
+def test_place_records_count_the_other_places_of_a_number(spark):
+    e = [(k % 3, f"p{k % 20}") for k in range(90)] + [(1, "p1"), (None, "p2"), (7, "lone")]
+    frames = [spark.createDataFrame(*x) for x in (([(f"p{k}", "x") for k in range(20)] + [("lone", "x")], "id string, name string"), ([("p1", "s", "d")], "place string, source string, spelling string"), (e, "no long, place string"), ([("p1", "t", "h")], "place string, tenure string, holder string"), ([("p1", "n")], "child string, parent string"))]
+    names = {r.id: r.entries for r in records.place_records(*frames).collect()}
+    want = {k: [(x.no, len(x.others)) for x in xs] for k, xs in names.items()}
+    got = records.place_records(*frames, others="count")
+    assert {r.id: [tuple(x) for x in r.entries] for r in got.collect()} == want and want["p1"][0] == (0, 19) and want["lone"] == [(7, 0)]
+    # no row of the plan holds the places of a number
+    assert "collect_set(place" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.no: len(r.places) for r in records.entry_places(frames[2]).collect()} == {0: 20, 1: 20, 2: 20, None: 1, 7: 1}
