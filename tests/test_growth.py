@@ -81,3 +81,11 @@ def test_place_records_count_the_other_places_of_a_number(spark):
     # no row of the plan holds the places of a number
     assert "collect_set(place" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert {r.no: len(r.places) for r in records.entry_places(frames[2]).collect()} == {0: 20, 1: 20, 2: 20, None: 1, 7: 1}
+
+
+def test_reconcile_broadcasts_no_names(spark):
+    names = [(k, f"name {k}") for k in range(30)]
+    index = spark.createDataFrame([(k, n, [k]) for k, n in names], "row_id long, name string, numbers array<long>")
+    got = reconcile.resolve_numbers(index, spark.createDataFrame(names, "no long, name string"))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.status for r in got.collect()} == {"agrees"}
