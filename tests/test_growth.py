@@ -105,3 +105,28 @@ def test_pairs_of_copies_are_made_from_pairs_of_positions(spark, monkeypatch):
     assert {tuple(r) for r in got.collect()} == want and got.count() == len(want) > 300
     assert joined and max(joined) < 30 * 30
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_best_near_of_one_anchor_pairs_only_like_names(spark):
+    from annalist.functions.fuzzy import ratio, ratio_of
+
+    r = random.Random(5)
+    name = lambda: "".join(r.choice("abdeg") for _ in range(r.randrange(3, 8)))
+    places = [(k, 48.0, 6.0, name()) for k in range(40)] + [(40, 48.0, 6.0, ""), (41, 48.0, 6.0, None)]
+    items = [(k, 48.0 + r.random() / 4, 6.0 + r.random() / 4, places[k % 40][3] if k % 3 else name(), 1.0 + k % 2) for k in range(120)] + [(120, 48.01, 6.0, "", 1.0)]
+    p, q = spark.createDataFrame(places, "id long, lat double, lon double, key string"), spark.createDataFrame(items, "id long, lat double, lon double, key string, rank double")
+    got = {x.place_id: x.item_id for x in spatial.best_near(p, q, spatial.alike_keys(p, q, ratio, 0.84), 12.0, 0.84).collect()}
+    want = {}
+    for i, lat, lon, key in places[:41]:
+        fits = []
+        for j, b_lat, b_lon, b_key, rank in items:
+            s = 1.0 if key == b_key else ratio_of(key, b_key)
+            d = km(*(type("P", (), {"lat": a, "lon": b}) for a, b in ((lat, lon), (b_lat, b_lon))))
+            if s >= 0.84 and d <= 12:
+                fits.append((4 * s + 0.15 * rank - 0.5 * d / 12, rank, j))
+        if fits:
+            want[i] = max(fits)[2]
+    assert got == want and len(got) == 18 and got[40] == 120
+    # the join is on the name and the cell: names that are not alike make no pair
+    plan = spatial.best_near(p, q, spatial.alike_keys(p, q, ratio, 0.84), 12.0, 0.84)._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in x and "b_key" in x and "cell_row" in x for x in plan.splitlines())
