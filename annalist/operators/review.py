@@ -21,12 +21,22 @@ def pages_near(page: Column) -> Column:
 
 
 def find_on_pages(queries: DataFrame, rows: DataFrame, cutoff: float = 0.7) -> DataFrame:
-    """(qid, row_id, ratio): the closest row on the cited page, else on a page near it (C11). queries: (qid, page, name); rows: (row_id, page, name)."""
-    asked = queries.select("qid", text.name_key(F.col("name")).alias("q"), F.explode(pages_near(F.col("page"))).alias("p")).select("qid", "q", "p.page", "p.priority")
-    have = rows.select("row_id", "page", text.name_key(F.col("name")).alias("key"))
-    scored = asked.join(have, "page").withColumn("ratio", F.when(F.col("q") == F.col("key"), 1.0).otherwise(ratio("key", "q"))).where(F.col("ratio") >= cutoff)
-    best = scored.groupBy("qid").agg(F.min_by(F.struct("row_id", "ratio"), F.struct("priority", -F.col("ratio"), "row_id")).alias("x"))
-    return best.select("qid", "x.row_id", "x.ratio")
+    """(qid, row_id, ratio): the closest row on the cited page, else on a page near it (C11). queries: (qid, page, name); rows: (row_id, page, name).
+
+    The pages near are searched only for what the cited one lacks.
+    """
+    asked = queries.select("qid", "page", text.name_key(F.col("name")).alias("q")).where(F.col("q").isNotNull())
+    have = rows.groupBy(F.col("page").alias("g"), text.name_key(F.col("name")).alias("key")).agg(F.min("row_id").alias("o")).where(F.col("g").isNotNull() & F.col("key").isNotNull()).withColumn("w", F.lit(1).cast("bigint"))
+
+    def closest(of: DataFrame) -> DataFrame:
+        """(qid, row_id, ratio) of the best row on the pages `g` of (qid, g, q)."""
+        near = closest_keys(of.select("g", "q", F.lit(0).cast("bigint").alias("floor")).distinct(), have, cutoff, least=True)
+        found = of.join(near.select("g", "q", F.col("o").alias("row_id"), "ratio").hint("merge"), ["g", "q"])
+        return found.groupBy("qid").agg(F.min_by(F.struct("row_id", "ratio"), F.struct(-F.col("ratio"), "row_id")).alias("x")).select("qid", "x.*")
+
+    cited = cut(closest(asked.select("qid", F.col("page").alias("g"), "q")))
+    others = asked.join(cited.select("qid").hint("merge"), "qid", "left_anti").select("qid", "q", F.explode(pages_near(F.col("page"))).alias("p")).where("p.priority > 0")
+    return cited.unionAll(closest(others.select("qid", F.col("p.page").alias("g"), "q")))
 
 
 def unheard_headings(contents: DataFrame, headings: DataFrame, cutoff: float = 0.6, width: int = 40) -> DataFrame:

@@ -68,3 +68,11 @@ def test_canonical_spellings_score_few_pairs(spark):
     got = review.canonical_spellings(m)
     assert {r.name: r.canonical for r in got.collect()} == {"Blamont": "Blamont", "Blamond": "Blamont", "Blam0nt": "Blam0nt", "Plamont": "Plamont", "Blamonts": "Blamont", "B": "B"}
     assert not scores_every_pair(got)
+
+
+def test_page_lookup_scores_few_pairs(spark):
+    rows = spark.createDataFrame([(1, "10", "Nancy"), (2, "10", "Nancy"), (3, "11", "Toul"), (4, "13", "Metz"), (5, "15", "Metz"), (6, "12", "")], "row_id long, page string, name string")
+    asked = [(1, "10", "Nanci"), (2, "10", "Toul"), (3, "13", "Mets"), (4, "15", "Meiz"), (5, "12", ""), (6, None, "Toul"), (7, "10", None), (8, "40", "Toul"), (9, "14", "Metz")]
+    got = review.find_on_pages(spark.createDataFrame(asked, "qid long, page string, name string"), rows)
+    assert {r.qid: (r.row_id, r.ratio) for r in got.collect()} == {1: (1, 0.8), 2: (3, 1.0), 3: (4, 0.75), 4: (5, 0.75), 5: (6, 1.0), 9: (4, 1.0)}
+    assert not scores_every_pair(got)
