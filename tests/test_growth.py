@@ -130,3 +130,21 @@ def test_best_near_of_one_anchor_pairs_only_like_names(spark):
     # the join is on the name and the cell: names that are not alike make no pair
     plan = spatial.best_near(p, q, spatial.alike_keys(p, q, ratio, 0.84), 12.0, 0.84)._jdf.queryExecution().optimizedPlan().toString()
     assert any("Join Inner" in x and "b_key" in x and "cell_row" in x for x in plan.splitlines())
+
+
+def test_letter_pairs_are_compared_as_sets(spark, monkeypatch):
+    from annalist.functions import text
+    from annalist.operators import match
+
+    monkeypatch.setattr(match, "TOGETHER", 2)
+    r = random.Random(3)
+    a, b = ([*{"".join(r.choice("abehlmé-") for _ in range(r.randrange(1, 7))) for _ in range(60)}, "alal", "alalal", "alalalal", "bb", ""] for _ in range(2))
+    df = lambda names, c: spark.createDataFrame([(x,) for x in names], f"{c} string")
+    coarse = {x.k: x.c for x in df(a + b, "k").select("k", text.coarse(F.col("k")).alias("c")).collect()}
+    pairs = lambda x: {coarse[x][i : i + 2] for i in range(len(coarse[x]) - 1)}
+    want = {(x, y, n) for x in a for y in b if (n := len(pairs(x) & pairs(y))) >= max(1, int(0.4 * len(pairs(x))))}
+    got = match.qgram_candidates(df(a, "q"), df(b, "key"))
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 300
+    # no pair is shuffled, and no side is gathered by the driver
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
