@@ -110,3 +110,18 @@ def test_pastures_and_ladders(spark):
     assert [r[0] for r in kinds.select(rules.place_type(F.col("k"), F.col("d"))).collect()] == ["farmstead", "castle", "village", "village"]
     assert [r[0] for r in spark.createDataFrame([("Pr.",), ("Luxembourg",), ("Meuse",), (None,)], "r string").select(rules.country_of(F.col("r"))).collect()] == ["DE", "LU", "FR", "FR"]
     assert one.select(rules.renamed_in(F.lit("see bar-2 and bar"), F.lit("bar"), F.lit("baz"))).first()[0] == "see bar-2 and baz"
+
+
+def test_small_tables_of_many_books_use_every_core(spark, monkeypatch):
+    """Books are walked in streams of rows, not in a Python call each, and keep their own state."""
+    monkeypatch.setattr(headings, "ROWS", 3)
+    lines = ["Bailliage de X.", "Prévosté de Y{}.", "Domaine.", "A, village", "B, village"]
+    rows = [(d, k, "main", t.format(d), k if k > 2 else None) for d in range(40) for k, t in enumerate(lines)] + [(40, 0, "main", "C, village", 7)]
+    blocks = spark.createDataFrame(rows, "doc long, pos long, part string, text string, no long").coalesce(1)
+    classified = headings.classify_blocks(blocks)
+    book = headings.read_book(classified)
+    assert classified.rdd.getNumPartitions() >= 4 and book.rdd.getNumPartitions() >= 4
+    assert "FlatMapGroupsInPandas" not in book._jdf.queryExecution().executedPlan().toString()
+    got = {(r.doc, r.pos): (r.district, r.section) for r in book.where("row = 'entry'").collect()}
+    assert got == {(d, k): (f"provostship-y{d}", "domain") for d in range(40) for k in (3, 4)} | {(40, 0): (None, "other")}
+    assert [(r.key, r.pos) for r in book.where("row = 'territory' AND doc = 7").orderBy("pos").collect()] == [("duchy-root", 0), ("bailiwick-x", 1), ("provostship-y7", 2)]
