@@ -76,3 +76,13 @@ def test_page_lookup_scores_few_pairs(spark):
     got = review.find_on_pages(spark.createDataFrame(asked, "qid long, page string, name string"), rows)
     assert {r.qid: (r.row_id, r.ratio) for r in got.collect()} == {1: (1, 0.8), 2: (3, 1.0), 3: (4, 0.75), 4: (5, 0.75), 5: (6, 1.0), 9: (4, 1.0)}
     assert not scores_every_pair(got)
+
+
+def test_like_keys_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "KEYS", 7)
+    monkeypatch.setattr(nearest, "QUERIES", 9)
+    a, b = names(5, 40), names(6, 60)
+    pairs = lambda x: {x[i : i + 2] for i in range(len(x) - 1)}
+    want = {(q, k) for q in a for k in b if len(pairs(q) & pairs(k)) >= max(1, int(0.4 * len(pairs(q)))) and (q == k or ratio_of(k, q) >= 0.7)}
+    got = nearest.like_keys(spark.createDataFrame([(x,) for x in a], "q string"), spark.createDataFrame([(x,) for x in b], "key string"), 0.7, 0.4)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 30
